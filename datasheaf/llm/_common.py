@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -37,6 +38,15 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file; the same on all executors. DATASHEAF_TOKENIZERS names another folder."""
+    if folder := os.environ.get("DATASHEAF_TOKENIZERS"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 

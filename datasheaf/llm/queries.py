@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from datasheaf.llm import exact_dedup, quality_rules, simhash_dedup, url_filters
+from datasheaf.llm import bpe_transducer, exact_dedup, html_extraction, quality_rules, simhash_dedup, token_counts, url_filters
+from datasheaf.llm._common import vocabulary
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,12 +29,25 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality_prob")
 
 
+def op6_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_transducer.encode_decode(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filters, op4_exact_dedup, op5_quality_rules, op9_simhash_dedup)
+    f.__name__: f
+    for f in (op1_url_filters, op4_exact_dedup, op5_quality_rules, op6_bpe_coding, op8_html_extraction, op9_simhash_dedup, op10_token_counts)
 }
 
 _URL_RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filters.DEFAULT_RULES)
