@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from datasheaf.llm import bpe_transducer, exact_dedup, html_extraction, quality_rules, simhash_dedup, token_counts, url_filters
+from datasheaf.llm import bpe_transducer, exact_dedup, html_extraction, packing, quality_rules, simhash_dedup, token_counts, toxicity, url_filters
 from datasheaf.llm._common import vocabulary
 
 
@@ -20,6 +20,14 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -47,7 +55,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filters, op4_exact_dedup, op5_quality_rules, op6_bpe_coding, op8_html_extraction, op9_simhash_dedup, op10_token_counts)
+    for f in (op1_url_filters, op2_toxicity, op3_packing, op4_exact_dedup, op5_quality_rules, op6_bpe_coding, op8_html_extraction, op9_simhash_dedup, op10_token_counts)
 }
 
 _URL_RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filters.DEFAULT_RULES)
