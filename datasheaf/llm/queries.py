@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from datasheaf.llm import bpe_transducer, exact_dedup, html_extraction, packing, quality_rules, simhash_dedup, token_counts, toxicity, url_filters
+from datasheaf.llm import bpe_transducer, exact_dedup, html_extraction, lm_scoring, packing, quality_rules, simhash_dedup, token_counts, toxicity, url_filters
 from datasheaf.llm._common import vocabulary
 
 
@@ -41,6 +41,10 @@ def op6_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.encode_decode(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -55,7 +59,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filters, op2_toxicity, op3_packing, op4_exact_dedup, op5_quality_rules, op6_bpe_coding, op8_html_extraction, op9_simhash_dedup, op10_token_counts)
+    for f in (op1_url_filters, op2_toxicity, op3_packing, op4_exact_dedup, op5_quality_rules, op6_bpe_coding, op7_lm_scoring, op8_html_extraction, op9_simhash_dedup, op10_token_counts)
 }
 
 _URL_RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filters.DEFAULT_RULES)
