@@ -47,10 +47,6 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def text_or_empty(text: str = "text") -> Column:
-    return F.coalesce(F.col(text), F.lit(""))
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind ``value`` to a lambda variable, so that ``body`` can use it often while it is computed once a row."""
     return F.transform(F.array(value), body)[0]

@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from datasheaf.llm._common import SPACE, staged, text_or_empty
+from datasheaf.llm._common import SPACE, staged
 
 #: Bytes in a block. Most documents are one block; a level halves the rest.
 BLOCK_BYTES = 4096
@@ -118,10 +118,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that exact_groups keeps, with all their columns. Texts cross the network once at most."""
-    kept = staged(exact_groups(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha")), "kept")
-    sha = F.unhex(F.sha2(normalised(F.col(text_col)), 256))
-    out = docs.withColumn("__mine", sha)
-    out = out.join(kept, out[id_col].eqNullSafe(kept["__id"]) & (out["__mine"] == kept["__sha"]), "left_semi")
-    repeated = docs.groupBy(F.col(id_col), F.xxhash64(text_or_empty(text_col))).count().filter("count > 1").take(1)
-    return (out.dropDuplicates([id_col, "__mine"]) if repeated else out).drop("__mine")
+    """The rows of ``docs`` that exact_groups keeps, with all their columns.
+
+    Documents to drop are fewer than those to keep, so they are what is joined;
+    texts cross the network only if even those are too many to broadcast.
+    """
+    found = staged(exact_groups(docs, id_col, text_col).select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha"), "kept"), "verdicts")
+    kept, dropped = found.filter("kept").drop("kept"), found.filter("not kept").drop("kept").distinct()
+    again = dropped.join(kept, dropped["__id"].eqNullSafe(kept["__id"]) & (dropped["__sha"] == kept["__sha"]), "left_semi")
+    # rows that repeat one that stays
+    repeated = staged(again.select(F.col("__id").alias("__rid"), F.col("__sha").alias("__rsha")), "repeated")
+    gone = dropped.join(repeated, dropped["__id"].eqNullSafe(repeated["__rid"]) & (dropped["__sha"] == repeated["__rsha"]), "left_anti")
+    out = docs.withColumn("__mine", F.unhex(F.sha2(normalised(F.col(text_col)), 256)))
+    out = out.join(gone, out[id_col].eqNullSafe(gone["__id"]) & (out["__mine"] == gone["__sha"]), "left_anti")
+    return (out.dropDuplicates([id_col, "__mine"]) if repeated.take(1) else out).drop("__mine")

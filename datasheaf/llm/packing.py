@@ -75,8 +75,12 @@ _SHUFFLED = np.random.default_rng(1).permutation(1 << 16).astype(np.uint16)
 
 
 def signature(ids: np.ndarray) -> int:
-    """The three smallest of the document's distinct ids after a fixed permutation, 16 bits each: alike for texts that share most words."""
-    least = np.unique(_SHUFFLED[ids])[:3].tolist()
+    """The three smallest, after a fixed permutation, of the document's 16 highest distinct ids, 16 bits each.
+
+    High ids are late merges, so rare words. Texts that share most of them have
+    the same signature, and its size doesn't follow the length of the text.
+    """
+    least = np.sort(_SHUFFLED[np.unique(ids)[-16:]])[:3].tolist()
     return sum(x << s for x, s in zip([*least, 0, 0], (32, 16, 0), strict=False))
 
 

@@ -60,11 +60,10 @@ def _repeated(words: Column) -> Column:
     return F.when(F.size(words) < 4, 0).when(some, exact()).otherwise(0)
 
 
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the figures of each whole text, all long. A null text has no words; lines are split at ``\\n``."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+def figures(text: Column) -> Column:
+    """A struct of the figures of each whole text, all long. A null text has no words; lines are split at ``\\n``."""
 
-    def figures(t: Column) -> Column:
+    def of(t: Column) -> Column:
         words = F.filter(F.split(t, SPACE), lambda w: w != "")
         return let(
             words,
@@ -80,28 +79,30 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             ),
         )
 
-    return docs.select(F.col(id_col).alias("doc_id"), let(text, figures).alias("f")).select("doc_id", "f.*")
+    return let(F.coalesce(text, F.lit("")), of)
 
 
 def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def _vote(good: Column, bad: Column) -> Column:
-    return F.when(F.col("n_words") == 0, F.lit(ABSTAIN)).when(bad, F.lit(BAD)).when(good, F.lit(GOOD)).otherwise(F.lit(ABSTAIN))
+def _vote(bad: Column, good: Column | None = None) -> Column:
+    judged = F.when(F.col("n_words") == 0, F.lit(ABSTAIN)).when(bad, F.lit(BAD))
+    return (judged if good is None else judged.when(good, F.lit(GOOD))).otherwise(F.lit(ABSTAIN))
 
 
 def default_rules() -> dict[str, Column]:
-    """Each rule is sure at both ends and abstains between."""
+    """Rules that look for one defect abstain where they don't find it: that it is absent makes no document good."""
     words, chars = F.col("n_words"), F.col("word_chars")
     return {
-        "length": _vote(words >= 2 * MIN_WORDS, words < MIN_WORDS / 2),
-        "symbols": _vote(50 * F.col("n_symbols") < chars, 10 * F.col("n_symbols") > chars),
-        "lines": _vote(F.col("n_dup_lines") == 0, 3 * F.col("n_dup_lines") > F.col("n_lines")),
-        "repeats": _vote(10 * F.col("n_repeat_words") < words, 3 * F.col("n_repeat_words") > words),
-        "word_length": _vote((chars > 3 * words) & (chars < 12 * words), (chars < 2 * words) | (chars > 20 * words)),
-        "distinct": _vote(4 * F.col("n_distinct") > words, (words >= MIN_WORDS) & (20 * F.col("n_distinct") < words)),
-        "capitals": _vote(5 * F.col("n_capitals") < chars, 2 * F.col("n_capitals") > chars),
+        "length": _vote(words < MIN_WORDS / 2, words >= 2 * MIN_WORDS),
+        "word_length": _vote((chars < 2 * words) | (chars > 20 * words), (chars > 3 * words) & (chars < 12 * words)),
+        "symbols": _vote(20 * F.col("n_symbols") > chars),
+        # one rule, since what repeats lines repeats words too, and EM takes rules for independent
+        "repetition": _vote(
+            (5 * F.col("n_dup_lines") > 2 * F.col("n_lines")) | (20 * F.col("n_repeat_words") > 9 * words) | ((words >= MIN_WORDS) & (20 * F.col("n_distinct") < words))
+        ),
+        "capitals": _vote(10 * F.col("n_capitals") > 3 * chars),
     }
 
 
@@ -121,44 +122,50 @@ class VoteModel:
         return 1 / (1 + F.exp(-total))
 
 
-def fit_votes(counts: Sequence[tuple[tuple[int, ...], int]], rules: Sequence[str], rounds: int = 50, smooth: float = 1.0) -> VoteModel:
+#: How far a rule's own say counts beside the posterior when its accuracy is estimated, and how sure that say is.
+TRUST, SURE = 0.75, 0.98
+
+
+def fit_votes(counts: Sequence[tuple[tuple[int, ...], int]], rules: Sequence[str], rounds: int = 50, smooth: float = 1.0, trust: float = TRUST) -> VoteModel:
     """EM over (votes, number of documents) of the distinct patterns.
 
-    It starts from a document being bad if some rule says so. ``smooth`` pseudo
-    votes keep every probability inside (0, 1), so an empty corpus gives a model
-    that trusts no rule.
+    A document starts out bad if some rule says so. Kinds of bad documents that
+    one rule alone sees are no pattern that others confirm, so of what a rule's
+    bad votes mean, its own say keeps the share ``trust`` in the estimate; the
+    rest is the posterior's. ``smooth`` pseudo votes keep probabilities inside
+    (0, 1), so an empty corpus gives a model without odds.
     """
-    good = [0.05 if BAD in votes else 0.95 for votes, _ in counts]
-    share, rates = 0.5, {}
+    good = [1 - SURE if BAD in votes else SURE for votes, _ in counts]
+    share, odds = 0.5, {r: dict.fromkeys(VOTES, 0.0) for r in rules}
     for _ in range(rounds):
-        weight = {True: smooth + sum(n * p for (_, n), p in zip(counts, good, strict=True)), False: smooth + sum(n * (1 - p) for (_, n), p in zip(counts, good, strict=True))}
-        share = weight[True] / (weight[True] + weight[False])
-        rates = {}
+        all_good = smooth + sum(n * p for (_, n), p in zip(counts, good, strict=True))
+        all_bad = smooth + sum(n * (1 - p) for (_, n), p in zip(counts, good, strict=True))
+        share = all_good / (all_good + all_bad)
         for j, rule in enumerate(rules):
-            for is_good in (True, False):
-                seen = dict.fromkeys(VOTES, smooth)
-                for (votes, n), p in zip(counts, good, strict=True):
-                    seen[votes[j]] += n * (p if is_good else 1 - p)
-                total = sum(seen.values())
-                rates[rule, is_good] = {v: x / total for v, x in seen.items()}
+            of: dict[bool, dict[int, float]] = {True: {}, False: {}}
+            for vote in VOTES:
+                voted = [(n, p) for (votes, n), p in zip(counts, good, strict=True) if votes[j] == vote]
+                of_good = sum(n * (trust * (1 - SURE) + (1 - trust) * p if vote == BAD else p) for n, p in voted)
+                of[True][vote], of[False][vote] = of_good + smooth * share, sum(n for n, _ in voted) - of_good + smooth * (1 - share)
+            totals = {k: sum(v.values()) for k, v in of.items()}
+            odds[rule] = {v: math.log(of[True][v] / totals[True]) - math.log(of[False][v] / totals[False]) for v in VOTES}
         good = []
         for votes, _ in counts:
-            odds = math.log(share / (1 - share)) + sum(math.log(rates[r, True][v] / rates[r, False][v]) for r, v in zip(rules, votes, strict=True))
-            good.append(1 / (1 + math.exp(-max(-500.0, min(500.0, odds)))))
-    return VoteModel(share, {r: {v: math.log(rates[r, True][v] / rates[r, False][v]) for v in VOTES} for r in rules})
+            total = math.log(share / (1 - share)) + sum(odds[r][v] for r, v in zip(rules, votes, strict=True))
+            good.append(1 / (1 + math.exp(-max(-500.0, min(500.0, total)))))
+    return VoteModel(share, odds)
 
 
-def judge_quality(docs: DataFrame, rules: Mapping[str, Column] | None = None, min_probability: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, the figures, the votes, quality_prob, base_failed, kept.
+def judged(docs: DataFrame, keep: Mapping[str, Column], rules: Mapping[str, Column] | None = None, min_probability: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The ``keep`` columns, under names that don't clash with the figures', then figures, votes, quality_prob, base_failed, kept.
 
-    kept is false if the base rules fail, else true where the posterior
-    probability of good is at least ``min_probability``. Null and empty texts
-    have no words and fail the base. Null ids and repeated rows are judged like
-    any other row; other columns aren't read. An empty table gives no rows.
+    The figures are computed once: what the votes are counted from is written to
+    the shared folder and read again.
     """
     rules = dict(rules or default_rules())
     votes = [f"vote_{r}" for r in rules]
-    voted = staged(measured(docs, id_col, text_col).withColumns({f"vote_{r}": c.cast("int") for r, c in rules.items()}), "votes")
+    rows = docs.select(*[c.alias(n) for n, c in keep.items()], figures(F.col(text_col)).alias("figures__"))
+    voted = staged(rows.select(*keep, "figures__.*").withColumns({f"vote_{r}": c.cast("int") for r, c in rules.items()}), "votes")
     counts = sorted((tuple(r[v] for v in votes), r["n"]) for r in voted.groupBy(*votes).agg(F.count("*").alias("n")).collect())
     model = fit_votes(counts, list(rules))
     return (
@@ -166,3 +173,21 @@ def judge_quality(docs: DataFrame, rules: Mapping[str, Column] | None = None, mi
         .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & (F.col("quality_prob") >= min_probability))
     )
+
+
+def judge_quality(docs: DataFrame, rules: Mapping[str, Column] | None = None, min_probability: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each row of ``docs``: doc_id, the figures, the votes, quality_prob, base_failed, kept.
+
+    kept is false if the base rules fail, else true where the posterior
+    probability of good is at least ``min_probability``. Null and empty texts
+    have no words and fail the base. Null ids and repeated rows are judged like
+    any other row; other columns aren't read. An empty table gives no rows.
+    """
+    return judged(docs, {"doc_id": F.col(id_col)}, rules, min_probability, text_col)
+
+
+def good_documents(docs: DataFrame, rules: Mapping[str, Column] | None = None, min_probability: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that judge_quality keeps, with all their columns, whatever their names."""
+    keep = {f"column__{i}": docs[c] for i, c in enumerate(docs.columns)}
+    found = judged(docs, keep, rules, min_probability, text_col).filter("kept")
+    return found.select(*[F.col(n).alias(c) for n, c in zip(keep, docs.columns, strict=True)])

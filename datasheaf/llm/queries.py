@@ -62,6 +62,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_url_filters, op2_toxicity, op3_packing, op4_exact_dedup, op5_quality_rules, op6_bpe_coding, op7_lm_scoring, op8_html_extraction, op9_simhash_dedup, op10_token_counts)
 }
 
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
+
 _URL_RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filters.DEFAULT_RULES)
 
 SQL: dict[str, str] = {

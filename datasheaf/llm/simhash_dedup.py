@@ -156,6 +156,14 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
+def _placed(printed: DataFrame, first: Column, distance: int, hot_key: int) -> DataFrame:
+    """(fp, first) of the distinct fingerprints of ``printed``: the least ``first`` in each one's component."""
+    distinct = staged(printed.groupBy("fp").agg(F.min(first).alias("first")), "distinct")
+    roots = components(links(distinct.select("fp"), distance, hot_key))
+    placed = staged(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "placed")
+    return placed.drop("first").join(placed.groupBy("root").agg(F.min("first").alias("first")), "root").select("fp", "first")
+
+
 def near_duplicates(docs: DataFrame, distance: int = 2, hot_key: int = HOT_KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -165,10 +173,26 @@ def near_duplicates(docs: DataFrame, distance: int = 2, hot_key: int = HOT_KEY,
     component are null. Other columns aren't read; no rows give no rows.
     """
     printed = staged(fingerprints(docs, id_col, text_col), "fingerprints")
-    distinct = staged(printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(links(distinct.select("fp"), distance, hot_key))
-    placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    placed = staged(placed, "placed")
-    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(least, "root").select("fp", "component_id")
-    return printed.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = _placed(printed, F.col("doc_id"), distance, hot_key)
+    return printed.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, distance: int = 2, hot_key: int = HOT_KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one document of each component, with all their columns.
+
+    The one with the smallest id stays; of equal ids the one whose text has the
+    smallest digest; of repeated rows one. Null ids come last.
+    """
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    id_, text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    printed = staged(per_row(numbered, [F.col(id_).alias("id"), digest.alias("digest")], F.col(text), _fingerprints, "fp bigint"), "fingerprints")
+    rank = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("digest").alias("digest"))
+    named = _placed(printed, rank, distance, hot_key)
+    judged = printed.join(named, "fp").select("id", "digest", rank.eqNullSafe(F.col("first")).alias("kept"))
+    gone = staged(judged.filter("not kept").select("id", "digest").distinct(), "dropped")
+    repeated = judged.filter("kept").groupBy("id", "digest").count().filter("count > 1").take(1)
+    out = numbered.withColumn("digest", digest)
+    out = out.join(gone, out[id_].eqNullSafe(gone["id"]) & (out["digest"] == gone["digest"]), "left_anti")
+    out = (out.dropDuplicates([id_, "digest"]) if repeated else out).drop("digest")
+    return out.toDF(*docs.columns)
