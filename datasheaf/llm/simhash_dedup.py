@@ -47,6 +47,18 @@ def shingle_hashes(words: list[bytes], size: int = SHINGLE_WORDS) -> Iterator[in
         yield digest(line[a:b], SEED)
 
 
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+_BYTES = np.arange(8) * 256
+
+
+def set_bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the 64-bit hashes have each bit set: the values of each byte are counted, then their bits."""
+    seen = np.zeros(8 * 256, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        seen += np.bincount((hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8) + _BYTES).ravel(), minlength=8 * 256)
+    return (seen.reshape(8, 256) @ _BITS).ravel()
+
+
 def simhash(text: bytes, size: int = SHINGLE_WORDS) -> int:
     """A bit is set if it is set in over half of the shingle hashes; 0 without words."""
     words = text.lower().split()  # bytes: A-Z and ASCII white space only
@@ -54,11 +66,7 @@ def simhash(text: bytes, size: int = SHINGLE_WORDS) -> int:
     if not n:
         return 0
     hashes = np.fromiter(shingle_hashes(words, size), np.uint64, n)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, n, 4096):
-        part = hashes[at : at + 4096].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(2 * set_bits(hashes) > n, bitorder="little").view(np.uint64)[0])
 
 
 def _fingerprints(texts: list[bytes]) -> list[pa.Array]:
@@ -75,17 +83,22 @@ def _segment(fp: Column, at: int, bits: int) -> Column:
     return F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << bits) - 1))
 
 
-def _variants(fp: Column, places: list[tuple[int, int]]) -> Column:
-    """Keys of the one-wildcard variants of the segments (first bit, bits): (segment, wildcard) and the other bits."""
+def _variants(fp: Column, places: list[tuple[int, int]], width: int = 1) -> Column:
+    """Keys of the one-wildcard variants of the segments (first bit, bits): (segment, wildcard) and the other bits.
+
+    A wildcard is a run of ``width`` bits: wider ones make fewer variants, each of which finds more.
+    """
     keys = []
     for s, (at, bits) in enumerate(places):
         value = _segment(fp, at, bits)
-        keys += [F.struct(F.lit(s * 64 + j).cast("int").alias("place"), value.bitwiseAND(F.lit(((1 << bits) - 1) ^ (1 << j))).alias("rest")) for j in range(bits)]
+        for j in range(-(-bits // width)):
+            others = ((1 << bits) - 1) & ~(((1 << width) - 1) << (j * width))
+            keys.append(F.struct(F.lit(s * 64 + j).cast("int").alias("place"), value.bitwiseAND(F.lit(others)).alias("rest")))
     return F.array(*keys)
 
 
 def _first_place(diff: Column, places: list[tuple[int, int]]) -> Column:
-    """The first (segment, wildcard) under which two fingerprints with these differing bits share a variant."""
+    """The first (segment, wildcard) of one bit under which two fingerprints with these differing bits share a variant."""
     chosen = F.lit(None).cast("int")
     for s, (at, bits) in reversed(list(enumerate(places))):
         part = _segment(diff, at, bits)
@@ -156,14 +169,6 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
-def _placed(printed: DataFrame, first: Column, distance: int, hot_key: int) -> DataFrame:
-    """(fp, first) of the distinct fingerprints of ``printed``: the least ``first`` in each one's component."""
-    distinct = staged(printed.groupBy("fp").agg(F.min(first).alias("first")), "distinct")
-    roots = components(links(distinct.select("fp"), distance, hot_key))
-    placed = staged(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "placed")
-    return placed.drop("first").join(placed.groupBy("root").agg(F.min("first").alias("first")), "root").select("fp", "first")
-
-
 def near_duplicates(docs: DataFrame, distance: int = 2, hot_key: int = HOT_KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -173,26 +178,129 @@ def near_duplicates(docs: DataFrame, distance: int = 2, hot_key: int = HOT_KEY,
     component are null. Other columns aren't read; no rows give no rows.
     """
     printed = staged(fingerprints(docs, id_col, text_col), "fingerprints")
-    named = _placed(printed, F.col("doc_id"), distance, hot_key)
-    return printed.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id"))
+    distinct = staged(printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    roots = components(links(distinct.select("fp"), distance, hot_key))
+    placed = staged(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "placed")
+    named = placed.drop("first").join(placed.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "component_id")
+    return printed.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# ---- similarity beyond a few bits --------------------------------------------
+
+#: Words in a shingle and Jaccard similarity from which two texts are near copies.
+SIMILAR_WORDS, SIMILARITY = 5, 0.8
+#: Fingerprints of a document, each with hashes of its own, and the width of the wildcards in their two segments.
+#: A similarity of 0.8 leaves about a tenth of the bits different; one of the segments then agrees outside a wildcard with a chance of 0.9, at 0.85 of 0.98.
+PRINTS, WIDTH = 8, 4
+#: Shares of differing bits below which a pair surely is similar, and above which it surely isn't; those between are compared by their shingles.
+SURE, DOUBTFUL = 0.03, 0.20
+#: Rounds in which a key's documents are compared with its first one; what is left then is compared pair by pair.
+LEADER_ROUNDS = 6
+
+
+def wide_simhash(text: bytes, prints: int = PRINTS) -> list[int]:
+    """``prints`` fingerprints, signed. The first is simhash(); the others mix each shingle's hash anew."""
+    words = text.lower().split()
+    n = max(len(words) - SHINGLE_WORDS + 1, min(len(words), 1))
+    if not n:
+        return [0] * prints
+    hashes = np.fromiter(shingle_hashes(words), np.uint64, n)
+    ones = np.zeros((prints, 64), np.int64)
+    for k in range(prints):
+        mixed = hashes
+        if k:
+            mixed = (hashes ^ np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+            mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+            mixed ^= mixed >> np.uint64(29)
+        ones[k] = set_bits(mixed)
+    return np.packbits(2 * ones > n, axis=1, bitorder="little").view(np.int64).ravel().tolist()
+
+
+def _wide(texts: list[bytes]) -> list[pa.Array]:
+    return [pa.array([wide_simhash(t) for t in texts], pa.list_(pa.int64()))]
+
+
+def _shingle_sets(texts: list[bytes]) -> list[pa.Array]:
+    return [pa.array([list(dict.fromkeys(np.fromiter(shingle_hashes(t.lower().split(), SIMILAR_WORDS), np.uint64).view(np.int64).tolist())) for t in texts], pa.list_(pa.int64()))]
+
+
+def _compared(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) of nodes that are similar. ``nodes`` has node and fps, ``texts`` node and text."""
+    a, b = nodes.select(F.col("node").alias("a"), F.col("fps").alias("x")), nodes.select(F.col("node").alias("b"), F.col("fps").alias("y"))
+    bits = sum((F.bit_count(F.col("x")[k].bitwiseXOR(F.col("y")[k])) for k in range(PRINTS)), F.lit(0))
+    measured = staged(pairs.join(a, "a").join(b, "b").select("a", "b", (bits / (64 * PRINTS)).alias("apart")).filter(F.col("apart") <= DOUBTFUL), "measured")
+    sure, doubtful = measured.filter(F.col("apart") <= SURE).select("a", "b"), measured.filter(F.col("apart") > SURE).select("a", "b")
+    wanted = staged(doubtful.select(F.col("a").alias("node")).union(doubtful.select("b")).distinct(), "wanted")
+    some = texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    sets = staged(per_row(some, [F.col("node")], F.col("text"), _shingle_sets, "shingles array<bigint>"), "shingles")
+    both = doubtful.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    near = both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return sure.unionByName(near)
+
+
+def similar_links(texts: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) that join the nodes into groups of near copies.
+
+    In each key the first document is compared with the others; those unlike it
+    are compared among themselves in the next round, and so on. A key thus gives
+    as many pairs as it has documents a round, never all pairs of a group.
+    """
+    places = cut(2)
+    keys = F.concat(*[F.transform(_variants(F.col("fps")[k], places, WIDTH), lambda v, k=k: F.struct((v["place"] + 128 * k).alias("place"), v["rest"].alias("rest"))) for k in range(PRINTS)])
+    rows = nodes.select("node", F.explode(keys).alias("k")).select("node", F.xxhash64("k.place", "k.rest").alias("key"))
+    left, found = rows, []
+    for n in range(LEADER_ROUNDS + 1):
+        first = left.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+        left = staged(left.join(first, "key").filter(F.col("node") != F.col("first")), "members")
+        if not left.take(1):
+            break
+        pairs = left.select(F.col("first").alias("a"), F.col("node").alias("b"))
+        if n == LEADER_ROUNDS:
+            x, y = left.select("key", F.col("node").alias("a")), left.select("key", F.col("node").alias("b"))
+            pairs = pairs.union(x.join(y, "key").filter("a < b").select("a", "b"))
+        near = staged(_compared(pairs.distinct(), nodes, texts, similarity), "near")
+        found.append(near)
+        if n == LEADER_ROUNDS:
+            break
+        linked = near.withColumnsRenamed({"a": "first", "b": "node"})
+        left = left.join(linked, ["first", "node"], "left_anti").select("node", "key")
+    if not found:
+        return nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    return reduce(DataFrame.unionByName, found)
 
 
-def keep_one(docs: DataFrame, distance: int = 2, hot_key: int = HOT_KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with one document of each component, with all their columns.
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one document of each group of near copies, with all their columns.
 
-    The one with the smallest id stays; of equal ids the one whose text has the
-    smallest digest; of repeated rows one. Null ids come last.
+    Links are those of near_duplicates() and all pairs found whose 5-word
+    shingles have at least that Jaccard similarity. The row with the smallest id
+    stays; of equal ids the one whose text has the smallest digest; of repeated
+    rows one. Null ids come last; null texts are empty texts.
     """
     numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     id_, text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
-    digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-    printed = staged(per_row(numbered, [F.col(id_).alias("id"), digest.alias("digest")], F.col(text), _fingerprints, "fp bigint"), "fingerprints")
-    rank = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("digest").alias("digest"))
-    named = _placed(printed, rank, distance, hot_key)
-    judged = printed.join(named, "fp").select("id", "digest", rank.eqNullSafe(F.col("first")).alias("kept"))
-    gone = staged(judged.filter("not kept").select("id", "digest").distinct(), "dropped")
-    repeated = judged.filter("kept").groupBy("id", "digest").count().filter("count > 1").take(1)
-    out = numbered.withColumn("digest", digest)
-    out = out.join(gone, out[id_].eqNullSafe(gone["id"]) & (out["digest"] == gone["digest"]), "left_anti")
-    out = (out.dropDuplicates([id_, "digest"]) if repeated else out).drop("digest")
+    node = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    printed = staged(per_row(numbered, [F.col(id_).alias("id"), node.alias("node")], F.col(text), _wide, "fps array<bigint>"), "fingerprints")
+    rank = F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("node").alias("node")))
+    nodes = staged(printed.groupBy("node").agg(rank.alias("first"), F.min("fps").alias("fps")), "nodes")
+
+    # all texts of a fingerprint hang on its first one
+    own = nodes.select("node", F.col("fps")[0].alias("fp"))
+    heads = staged(own.groupBy("fp").agg(F.min("node").alias("head")), "heads")
+    same = own.join(heads, "fp").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    few = links(heads.select("fp"), distance).join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    texts = numbered.select(node.alias("node"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    roots = components(same.union(few).union(similar_links(texts, nodes, similarity)))
+
+    placed = staged(nodes.drop("fps").join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")), "placed")
+    kept = placed.groupBy("root").agg(F.min("first").alias("kept"))
+    stays = placed.join(kept, "root").select("node", "kept")
+    judged = printed.select("id", "node").join(stays, "node").select("id", "node", F.struct(F.col("id").isNull().alias("n"), "id", "node").eqNullSafe(F.col("kept")).alias("kept"))
+    judged = staged(judged, "judged")
+    gone = judged.filter("not kept").select("id", "node").distinct()
+    repeated = judged.filter("kept").groupBy("id", "node").count().filter("count > 1").take(1)
+    out = numbered.withColumn("node", node)
+    out = out.join(gone, out[id_].eqNullSafe(gone["id"]) & (out["node"] == gone["node"]), "left_anti")
+    out = (out.dropDuplicates([id_, "node"]) if repeated else out).drop("node")
     return out.toDF(*docs.columns)
