@@ -120,7 +120,7 @@ def file_name(title: Column | str) -> Column:
 
 def number_of(text: Column | str) -> Column:
     """Integer in decimal, 0x or 0b notation, underscores allowed; null where it is none (TXT-25)."""
-    text = F.lower(F.regexp_replace(F.trim(_re(text)), r"[_ ]|u?l*$", ""))
+    text = F.regexp_replace(F.lower(F.trim(_re(text))), r"[_ ]|u?l*$", "")
     digits = F.substring(text, 3, 64)
     return (
         F.when(text.rlike(r"^0x[0-9a-f]+$"), F.conv(digits, 16, 10).try_cast("bigint"))

@@ -179,7 +179,9 @@ def sizes(grid: DataFrame) -> DataFrame:
 def virtual(rows: DataFrame, table_id: Column, texts: Sequence[Column], headers: Sequence[str], order: str) -> DataFrame:
     """A grid made of columns (TAB-16): one header row, then a row for each row in order."""
     y = F.row_number().over(Window.partitionBy(table_id).orderBy(order))
-    body = rows.select(table_id.alias("table_id"), y.alias("gy"), F.posexplode(F.array(*[t.cast("string") for t in texts])).alias("gx", "html"))
+    # numbered before the explode, which would be counted too
+    numbered = rows.withColumn("__y", y)
+    body = numbered.select(table_id.alias("table_id"), F.col("__y").alias("gy"), F.posexplode(F.array(*[t.cast("string") for t in texts])).alias("gx", "html"))
     head = rows.select(table_id.alias("table_id")).distinct().select("table_id", F.lit(0).alias("gy"), F.posexplode(F.array(*[F.lit(h) for h in headers])).alias("gx", "html"))
     n = len(headers)
     w = Window.partitionBy("table_id")

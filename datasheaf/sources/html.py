@@ -56,9 +56,10 @@ class ItemScanner(HTMLParser):
             self.kind, self.buffer = "table", None
             self.table = {"row": -1, "caption": "", "cells": []}
         elif self.table is not None and tag == "tr":
+            self._end_part()
             self.table["row"] += 1
-            self.buffer = None
         elif self.table is not None and tag in ("td", "th", "caption"):
+            self._end_part()
             a = dict(attrs)
             self.part = {"tag": tag, "row": max(0, self.table["row"]), "xspan": _span(a, "colspan"), "yspan": _span(a, "rowspan"), "is_header": tag == "th"}
             self.buffer = []
@@ -86,12 +87,8 @@ class ItemScanner(HTMLParser):
         if self.table is not None:
             if tag == "table":
                 self._end_table()
-            elif self.part is not None and tag == self.part["tag"] and self.buffer is not None:
-                if tag == "caption":
-                    self.table["caption"] = self._captured()
-                else:
-                    self.table["cells"].append({k: self.part[k] for k in ("row", "xspan", "yspan", "is_header")} | {"html": self._captured()})
-                self.part = None
+            elif self.part is not None and tag == self.part["tag"]:
+                self._end_part()
             elif self.buffer is not None and tag != "span":
                 self.buffer.append(f"</{tag}>")
         elif self.kind == "heading" and tag in HEADINGS:
@@ -104,7 +101,18 @@ class ItemScanner(HTMLParser):
         elif self.buffer is not None and tag != "span":
             self.buffer.append(f"</{tag}>")
 
+    def _end_part(self) -> None:
+        """Keep the open cell or caption; one that is never closed ends where the next starts."""
+        if self.part is not None and self.buffer is not None:
+            text = self._captured()
+            if self.part["tag"] == "caption":
+                self.table["caption"] = text
+            else:
+                self.table["cells"].append({k: self.part[k] for k in ("row", "xspan", "yspan", "is_header")} | {"html": text})
+        self.part = self.buffer = None
+
     def _end_table(self) -> None:
+        self._end_part()
         cells, caption = self.table["cells"], self.table["caption"]
         if cells and not (len(cells) == 1 and cells[0]["html"] == "(omitted)"):
             self.items.append(("table", "", self.heading, caption, cells))
