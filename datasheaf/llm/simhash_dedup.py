@@ -88,13 +88,17 @@ def _variants(fp: Column, places: list[tuple[int, int]], width: int = 1) -> Colu
 
     A wildcard is a run of ``width`` bits: wider ones make fewer variants, each of which finds more.
     """
-    keys = []
-    for s, (at, bits) in enumerate(places):
+    every = F.lit((1 << width) - 1).cast("bigint")
+
+    def of(s: int, at: int, bits: int) -> Column:
         value = _segment(fp, at, bits)
-        for j in range(-(-bits // width)):
-            others = ((1 << bits) - 1) & ~(((1 << width) - 1) << (j * width))
-            keys.append(F.struct(F.lit(s * 64 + j).cast("int").alias("place"), value.bitwiseAND(F.lit(others)).alias("rest")))
-    return F.array(*keys)
+        # a lambda, not one expression for each variant: plans stay small
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(-(-bits // width) - 1)),
+            lambda j: F.struct((j + s * 64).alias("place"), value.bitwiseAND(F.bitwise_not(F.call_function("shiftleft", every, j * width))).alias("rest")),
+        )
+
+    return F.concat(*[of(s, at, bits) for s, (at, bits) in enumerate(places)])
 
 
 def _first_place(diff: Column, places: list[tuple[int, int]]) -> Column:
@@ -120,7 +124,8 @@ def links(distinct: DataFrame, distance: int = 2, hot_key: int = HOT_KEY) -> Dat
     places = cut(distance)
     keyed = distinct.select("fp", F.explode(_variants(F.col("fp"), places)).alias("k")).select("fp", "k.*")
     counts = keyed.groupBy("place", "rest").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = staged(keyed.join(counts, ["place", "rest"]), "variants")
+    # merged, whatever Catalyst thinks of the size: it doesn't count what explode() makes of a row
+    shared = staged(keyed.join(counts.hint("merge"), ["place", "rest"]), "variants")
     apart = F.col("a").bitwiseXOR(F.col("b"))
     near = (F.bit_count(apart) <= distance) & (_first_place(apart, places) == F.col("place"))
 
@@ -181,7 +186,9 @@ def near_duplicates(docs: DataFrame, distance: int = 2, hot_key: int = HOT_KEY,
     distinct = staged(printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = components(links(distinct.select("fp"), distance, hot_key))
     placed = staged(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "placed")
-    named = placed.drop("first").join(placed.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "component_id")
+    # written before they are joined: AQE splits a hot component or fingerprint only where no aggregation stands in between
+    least = staged(placed.groupBy("root").agg(F.min("first").alias("component_id")), "least")
+    named = staged(placed.drop("first").join(least, "root").select("fp", "component_id"), "named")
     return printed.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -190,12 +197,10 @@ def near_duplicates(docs: DataFrame, distance: int = 2, hot_key: int = HOT_KEY,
 #: Words in a shingle and Jaccard similarity from which two texts are near copies.
 SIMILAR_WORDS, SIMILARITY = 5, 0.8
 #: Fingerprints of a document, each with hashes of its own, and the width of the wildcards in their two segments.
-#: A similarity of 0.8 leaves about a tenth of the bits different; one of the segments then agrees outside a wildcard with a chance of 0.9, at 0.85 of 0.98.
-PRINTS, WIDTH = 8, 4
+#: A similarity of 0.8 leaves about a tenth of the bits different; one of the segments then agrees outside a wildcard with a chance of 0.95, at 0.85 of 0.99.
+PRINTS, WIDTH = 12, 4
 #: Shares of differing bits below which a pair surely is similar, and above which it surely isn't; those between are compared by their shingles.
 SURE, DOUBTFUL = 0.03, 0.20
-#: Rounds in which a key's documents are compared with its first one; what is left then is compared pair by pair.
-LEADER_ROUNDS = 6
 
 
 def wide_simhash(text: bytes, prints: int = PRINTS) -> list[int]:
@@ -224,50 +229,62 @@ def _shingle_sets(texts: list[bytes]) -> list[pa.Array]:
     return [pa.array([list(dict.fromkeys(np.fromiter(shingle_hashes(t.lower().split(), SIMILAR_WORDS), np.uint64).view(np.int64).tolist())) for t in texts], pa.list_(pa.int64()))]
 
 
-def _compared(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Those of the pairs (a, b) of nodes that are similar. ``nodes`` has node and fps, ``texts`` node and text."""
-    a, b = nodes.select(F.col("node").alias("a"), F.col("fps").alias("x")), nodes.select(F.col("node").alias("b"), F.col("fps").alias("y"))
-    bits = sum((F.bit_count(F.col("x")[k].bitwiseXOR(F.col("y")[k])) for k in range(PRINTS)), F.lit(0))
-    measured = staged(pairs.join(a, "a").join(b, "b").select("a", "b", (bits / (64 * PRINTS)).alias("apart")).filter(F.col("apart") <= DOUBTFUL), "measured")
-    sure, doubtful = measured.filter(F.col("apart") <= SURE).select("a", "b"), measured.filter(F.col("apart") > SURE).select("a", "b")
-    wanted = staged(doubtful.select(F.col("a").alias("node")).union(doubtful.select("b")).distinct(), "wanted")
-    some = texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    sets = staged(per_row(some, [F.col("node")], F.col("text"), _shingle_sets, "shingles array<bigint>"), "shingles")
-    both = doubtful.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    near = both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
-    return sure.unionByName(near)
+class _Comparison:
+    """Compares pairs of nodes. ``nodes`` has node, digest and fps, ``texts`` digest and text. The shingles of a text are made once, when a pair first needs them."""
+
+    def __init__(self, nodes: DataFrame, texts: DataFrame, similarity: float) -> None:
+        self.nodes, self.texts, self.similarity = nodes, texts, similarity
+        self.sets: DataFrame | None = None
+
+    def similar(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b) that are similar."""
+        a, b = self.nodes.select(F.col("node").alias("a"), F.col("fps").alias("x")), self.nodes.select(F.col("node").alias("b"), F.col("fps").alias("y"))
+        bits = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, b: n + b)
+        measured = staged(pairs.join(a, "a").join(b, "b").select("a", "b", (bits / (64 * PRINTS)).alias("apart")).filter(F.col("apart") <= DOUBTFUL), "measured")
+        sure, doubtful = measured.filter(F.col("apart") <= SURE).select("a", "b"), measured.filter(F.col("apart") > SURE).select("a", "b")
+        sets = self._shingles(doubtful.select(F.col("a").alias("node")).union(doubtful.select("b")).distinct())
+        both = doubtful.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+        common = F.size(F.array_intersect("x", "y"))
+        near = both.filter(common >= self.similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
+        return staged(sure.unionByName(near), "near")
+
+    def _shingles(self, wanted: DataFrame) -> DataFrame:
+        new = wanted if self.sets is None else wanted.join(self.sets.select("node"), "node", "left_anti")
+        named = staged(new.join(self.nodes.select("node", "digest"), "node"), "wanted")
+        if self.sets is None or named.take(1):
+            some = self.texts.join(named, "digest").select("node", "text")
+            made = staged(per_row(some, [F.col("node")], F.col("text"), _shingle_sets, "shingles array<bigint>").dropDuplicates(["node"]), "shingles")
+            self.sets = made if self.sets is None else self.sets.unionByName(made)
+        return self.sets
+
+
+def _apart(rows: DataFrame, links_: DataFrame) -> DataFrame:
+    """Rows (first, node) that the links don't join yet."""
+    roots = staged(components(links_), "roots")
+    x, y = roots.select(F.col("node").alias("first"), F.col("root").alias("x")), roots.select("node", F.col("root").alias("y"))
+    return rows.join(x, "first", "left").join(y, "node", "left").filter(F.coalesce("x", "first") != F.coalesce("y", "node")).drop("x", "y")
 
 
 def similar_links(texts: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b) that join the nodes into groups of near copies.
 
-    In each key the first document is compared with the others; those unlike it
-    are compared among themselves in the next round, and so on. A key thus gives
-    as many pairs as it has documents a round, never all pairs of a group.
+    In each key the first document leads, and the others are compared with it:
+    pairs grow as the rows of the index, not as the square of a group. First each
+    document meets the smallest of its leaders; of the other pairs, only those
+    that these links don't join yet are compared. An index with a measured
+    recall: a pair is missed if it shares no key, or only keys led by a third
+    document that is like at most one of the two.
     """
+    compare = _Comparison(nodes, texts, similarity)
     places = cut(2)
-    keys = F.concat(*[F.transform(_variants(F.col("fps")[k], places, WIDTH), lambda v, k=k: F.struct((v["place"] + 128 * k).alias("place"), v["rest"].alias("rest"))) for k in range(PRINTS)])
-    rows = nodes.select("node", F.explode(keys).alias("k")).select("node", F.xxhash64("k.place", "k.rest").alias("key"))
-    left, found = rows, []
-    for n in range(LEADER_ROUNDS + 1):
-        first = left.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-        left = staged(left.join(first, "key").filter(F.col("node") != F.col("first")), "members")
-        if not left.take(1):
-            break
-        pairs = left.select(F.col("first").alias("a"), F.col("node").alias("b"))
-        if n == LEADER_ROUNDS:
-            x, y = left.select("key", F.col("node").alias("a")), left.select("key", F.col("node").alias("b"))
-            pairs = pairs.union(x.join(y, "key").filter("a < b").select("a", "b"))
-        near = staged(_compared(pairs.distinct(), nodes, texts, similarity), "near")
-        found.append(near)
-        if n == LEADER_ROUNDS:
-            break
-        linked = near.withColumnsRenamed({"a": "first", "b": "node"})
-        left = left.join(linked, ["first", "node"], "left_anti").select("node", "key")
-    if not found:
-        return nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    return reduce(DataFrame.unionByName, found)
+    keys = F.flatten(F.transform("fps", lambda fp, k: F.transform(_variants(fp, places, WIDTH), lambda v: F.xxhash64(k, v["place"], v["rest"]))))
+    rows = nodes.select("node", F.explode(keys).alias("key"))
+    leaders = rows.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    led = rows.join(leaders.hint("merge"), "key").filter(F.col("node") != F.col("first"))
+    pairs = staged(led.select("first", "node").distinct(), "candidates")
+    as_link = F.col("first").alias("a"), F.col("node").alias("b")
+    found = compare.similar(pairs.groupBy("node").agg(F.min("first").alias("first")).select(*as_link))
+    return found.unionByName(compare.similar(_apart(pairs, found).select(*as_link)))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -280,27 +297,28 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, distance: int = 2,
     """
     numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     id_, text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
-    node = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-    printed = staged(per_row(numbered, [F.col(id_).alias("id"), node.alias("node")], F.col(text), _wide, "fps array<bigint>"), "fingerprints")
-    rank = F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("node").alias("node")))
-    nodes = staged(printed.groupBy("node").agg(rank.alias("first"), F.min("fps").alias("fps")), "nodes")
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    printed = staged(per_row(numbered, [F.col(id_).alias("id"), digest.alias("digest")], F.col(text), _wide, "fps array<bigint>"), "fingerprints")
+    rank = F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("digest").alias("digest")))
+    # a text is a node; its number is short where its digest would be long, and no two texts share one
+    nodes = staged(printed.groupBy("digest").agg(rank.alias("first"), F.min("fps").alias("fps")).withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # all texts of a fingerprint hang on its first one
     own = nodes.select("node", F.col("fps")[0].alias("fp"))
     heads = staged(own.groupBy("fp").agg(F.min("node").alias("head")), "heads")
     same = own.join(heads, "fp").select(F.col("head").alias("a"), F.col("node").alias("b"))
     few = links(heads.select("fp"), distance).join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    texts = numbered.select(node.alias("node"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    roots = components(same.union(few).union(similar_links(texts, nodes, similarity)))
+    texts = numbered.select(digest.alias("digest"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    roots = components(same.union(few).union(similar_links(texts, nodes.select("node", "digest", "fps"), similarity)))
 
-    placed = staged(nodes.drop("fps").join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")), "placed")
-    kept = placed.groupBy("root").agg(F.min("first").alias("kept"))
-    stays = placed.join(kept, "root").select("node", "kept")
-    judged = printed.select("id", "node").join(stays, "node").select("id", "node", F.struct(F.col("id").isNull().alias("n"), "id", "node").eqNullSafe(F.col("kept")).alias("kept"))
+    placed = staged(nodes.select("node", "digest", "first").join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root")), "placed")
+    kept = staged(placed.groupBy("root").agg(F.min("first").alias("kept")), "kept")
+    stays = placed.join(kept, "root").select("digest", "kept")
+    judged = printed.select("id", "digest").join(stays, "digest").select("id", "digest", F.struct(F.col("id").isNull().alias("n"), "id", "digest").eqNullSafe(F.col("kept")).alias("kept"))
     judged = staged(judged, "judged")
-    gone = judged.filter("not kept").select("id", "node").distinct()
-    repeated = judged.filter("kept").groupBy("id", "node").count().filter("count > 1").take(1)
-    out = numbered.withColumn("node", node)
-    out = out.join(gone, out[id_].eqNullSafe(gone["id"]) & (out["node"] == gone["node"]), "left_anti")
-    out = (out.dropDuplicates([id_, "node"]) if repeated else out).drop("node")
+    gone = judged.filter("not kept").select("id", "digest").distinct()
+    repeated = judged.filter("kept").groupBy("id", "digest").count().filter("count > 1").take(1)
+    out = numbered.withColumn("digest", digest)
+    out = out.join(gone, out[id_].eqNullSafe(gone["id"]) & (out["digest"] == gone["digest"]), "left_anti")
+    out = (out.dropDuplicates([id_, "digest"]) if repeated else out).drop("digest")
     return out.toDF(*docs.columns)
