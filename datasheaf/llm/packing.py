@@ -121,8 +121,8 @@ class Shard:
         yield from (d for d in top[score[top] > 0].tolist() if self.unused[d])
         rest = np.flatnonzero((score > 0) & self.unused)
         yield from (d for d in rest[np.lexsort((rest, -score[rest]))].tolist() if self.unused[d])
-        while (d := self.following()) is not None:
-            yield d
+        self.following()  # all before it are used
+        yield from (d for d in range(self.next, self.n) if self.unused[d])
 
     def following(self) -> int | None:
         while self.next < self.n and not self.unused[self.next]:

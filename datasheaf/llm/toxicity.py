@@ -37,9 +37,9 @@ GRADES = 3
 #: Words with typical features up to which a toxic document has grade 1 and 2.
 GRADE_ENDS = (2, 5)
 #: A feature is typical if toxic documents have it this much more often (log of the ratio), in so many sampled ones at least.
-TYPICAL, AT_LEAST = 2.0, 4
+TYPICAL, AT_LEAST = 2.0, 3
 #: Expected severity from which a document is toxic.
-THRESHOLD = 0.5
+THRESHOLD = 0.3
 WORD = re.compile(r"[^\W\d_]+")
 
 
