@@ -82,7 +82,7 @@ def name_texts(rows: DataFrame, block_bytes: int = BLOCK_BYTES, fingerprint: Cal
         )
         # a pair is named within its number of blocks: names of one level are only compared there
         pairs = staged(pairs, "pairs")
-        names = _named(pairs.select("left", "right").distinct(), ["left", "right"])
+        names = staged(_named(pairs.select("left", "right").distinct(), ["left", "right"]), "pair-names")
         level = staged(pairs.join(names, ["left", "right"]).select("id", "sha", "blocks", "pos", "name", "copies"), "level")
         width, most = F.ceil(width / 2), (most + 1) // 2
     out = done[0]
@@ -103,7 +103,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("id"), text.alias("t")).select("id", F.unhex(F.sha2(F.col("t"), 256)).alias("sha"), F.col("t").cast("binary").alias("body"))
     named = staged(name_texts(rows, block_bytes, fingerprint), "identities")
     first = F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id")))
-    groups = named.groupBy("blocks", "name").agg(first.alias("first"), F.sum("copies").alias("group_size"))
+    # written before it is joined: AQE splits a hot group only where no aggregation stands in between
+    groups = staged(named.groupBy("blocks", "name").agg(first.alias("first"), F.sum("copies").alias("group_size")), "groups")
     return (
         named.join(groups, ["blocks", "name"])
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
