@@ -1,4 +1,4 @@
-"""Points, boxes, intervals and bits as Columns. A box is struct(x0, y0, x1, y1), a point struct(x, y)."""
+"""Points, boxes, intervals and bits as Columns (MTH-01 to MTH-13, FLT-10). A box is struct(x0, y0, x1, y1), a point struct(x, y)."""
 
 from __future__ import annotations
 
@@ -87,6 +87,16 @@ def interval_overlaps(v0: Column, v1: Column, o0: Column, o1: Column, atol: floa
     return (v1 + atol > o0) & (o1 > v0 - atol)
 
 
+def length(v0: Column, v1: Column) -> Column:
+    """MTH-04."""
+    return v1 - v0
+
+
+def scaled_area(area: Column, width: Column, height: Column) -> Column:
+    """A template's area, given as shares of the page, on a page of that size (MTH-11)."""
+    return F.struct((area["x0"] * width).alias("x0"), (area["y0"] * height).alias("y0"), (area["x1"] * width).alias("x1"), (area["y1"] * height).alias("y1"))
+
+
 def mask_width(mask: Column, position: Column) -> Column:
     """Bits of a mask from its position up (MTH-05): the length of the shifted number, not the number of ones."""
     shifted = F.call_function("shiftright", mask, position)

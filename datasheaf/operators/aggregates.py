@@ -81,6 +81,12 @@ def line_figures(chars: DataFrame, by: Sequence[str]) -> DataFrame:
     return chars.groupBy(*by).agg(F.avg("origin").alias("origin"), F.avg(F.col("bold").cast("double")).alias("bold_share"), F.mode("rotation", True).alias("rotation"))
 
 
+def content(chars: DataFrame, by: Sequence[str], order: str = "x0", char: str = "ch") -> DataFrame:
+    """Text of a line, cluster or cell: its glyphs from the left (TXT-24)."""
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, char))), lambda g: g[char]), "")
+    return chars.groupBy(*by).agg(joined.alias("text"))
+
+
 def keep_last_duplicate(df: DataFrame, by: Sequence[str], value: str, order: str) -> DataFrame:
     """Each value of a key once, at its last place (AGG-14)."""
     return df.groupBy(*by, value).agg(F.max(order).alias(order))

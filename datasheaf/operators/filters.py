@@ -81,6 +81,23 @@ def without_prefixes(df: DataFrame, column: str, prefixes: Sequence[str]) -> Dat
     return df.filter(~F.coalesce(bad, F.lit(False)))
 
 
+def chapters_of(chapters: DataFrame, sections: DataFrame, name: str = "chapter", number: str = "section") -> DataFrame:
+    """Chapters whose number is the first part of some section's (JOI-23)."""
+    wanted = sections.select(F.regexp_extract(number, r"^(\d+)", 1).alias("__n")).filter("__n <> ''").distinct()
+    return chapters.join(wanted, F.regexp_extract(name, r"(?i)^(?:chapter )?(\d+)\b", 1) == F.col("__n"), "left_semi")
+
+
+def specificity(pattern: str) -> Column:
+    """Sort key of patterns: the longest first, then fewest wildcards, then the later the first one, then the name (SRT-02)."""
+    p = F.col(pattern)
+    return F.struct((-F.length(p)).alias("a"), F.length(F.regexp_replace(p, "[^x.]", "")).alias("b"), (-F.locate("x", p)).alias("c"), p.alias("d"))
+
+
+def reading_order(y: str = "y1", x: str = "x0") -> list[Column]:
+    """From the top, then from the left (SRT-03)."""
+    return [F.col(y).desc(), F.col(x).asc()]
+
+
 def new_only(remote: DataFrame, local: DataFrame, on: str) -> DataFrame:
     """Remote rows whose key isn't local (SET-01)."""
     return remote.join(local.select(on).distinct(), on, "left_anti")

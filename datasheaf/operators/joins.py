@@ -148,6 +148,12 @@ def nearest_define(names: DataFrame, defines: DataFrame, on: str, key: Column, d
     return pairs.groupBy(*row_key).agg(F.min(define).alias("define"))
 
 
+def offset_lookup(left: DataFrame, offsets: DataFrame, name: str, pattern: str, row_key: Sequence[str], base: str = "address") -> DataFrame:
+    """The first offset whose pattern the name matches, added to the base; none adds nothing (JOI-19). ``offsets``: ord, pattern, offset."""
+    hit = left.join(offsets, F.expr(f"{name} rlike {pattern}")).groupBy(*row_key).agg(F.min_by("offset", "ord").alias("__offset"))
+    return left.join(hit, list(row_key), "left").withColumn(base, F.col(base) + F.coalesce("__offset", F.lit(0))).drop("__offset")
+
+
 def alias_lookup(keys: DataFrame, rules: DataFrame, key: str, alias: str) -> DataFrame:
     """Rules looked up by key, where a rule may only name the key it is an alias of (JOI-21): one self-join, not a chain."""
     full = rules.filter(F.col(alias).isNull()).drop(alias)

@@ -236,6 +236,22 @@ def chapters(blocks: DataFrame, level: int = 1) -> DataFrame:
     return blocks.withColumn("chapter_no", F.sum(top.cast("int")).over(w)).withColumn("chapter", F.last(F.when(top, F.col("text")), ignorenulls=True).over(w))
 
 
+def contents(entries: DataFrame) -> DataFrame:
+    """(doc, page, level, title) of a table of contents (SRC-10): an entry without a page has that of the one before it; each (page, title) once, in order. ``entries``: doc, ord, page, level, title."""
+    w = Window.partitionBy("doc").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+    # page 0 counts as missing
+    filled = entries.withColumn("page", F.coalesce(F.last(F.when(F.col("page") != 0, F.col("page")), ignorenulls=True).over(w), F.lit(0)))
+    return filled.groupBy("doc", "page", "title").agg(F.min_by("level", "ord").alias("level")).select("doc", "page", "level", "title").orderBy("doc", "page", "level", "title")
+
+
+def page_template(producer: Column, templates: Sequence[tuple[str, str]], default: str) -> Column:
+    """Layout template by what made the document: the first pattern found (LAY-09, FLT-15)."""
+    out = F.lit(default)
+    for pattern, name in reversed(templates):
+        out = F.when(producer.rlike(pattern), name).otherwise(out)
+    return out
+
+
 def overlays(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """(kind, colour, doc, page, x0, y0, x1, y1) of what a debug view would draw (SNK-08)."""
     out = None

@@ -171,6 +171,11 @@ def append_side(left: DataFrame, right: DataFrame, expand: bool = True) -> DataF
     return both.drop("__w", "__h", "__rw", "__rh", "__own")
 
 
+def captioned(items: DataFrame, subs: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Items with plain caption and heading (TXT-04)."""
+    return items.withColumns({"caption": replace_subs("caption", subs), "heading": replace_subs("heading", subs)})
+
+
 def sizes(grid: DataFrame) -> DataFrame:
     """(table_id, width, height, header_rows, cells) (TAB-15)."""
     return grid.groupBy("table_id").agg(F.max("width").alias("width"), F.max("height").alias("height"), F.max("header_rows").alias("header_rows"), F.countDistinct("cell_id").alias("cells"))

@@ -170,6 +170,22 @@ def without_duplicates(common: DataFrame, others: DataFrame, keys: Sequence[str]
     return common.join(others.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def normalised(peripherals: DataFrame, registers: DataFrame, is_child: Column, suffix: str = "ext") -> DataFrame:
+    """Registers of a header's peripherals in emission order (TRE-09): aliases out, sub-peripherals inlined into the ones before them, then by address, offset and name."""
+    bases = without_aliases(peripherals, suffix)
+    inner = parent_by_address(bases, is_child)
+    moved = inline_children(registers, inner, "child", "parent", "address")
+    own = registers.join(inner.select(F.col("child").alias("peripheral")), "peripheral", "left_anti").select("peripheral", "register", "offset")
+    placed = own.unionByName(moved).join(bases.select(F.col("name").alias("peripheral"), "address"), "peripheral")
+    return ordered_tree(placed, ["address", "offset", "register"])
+
+
+def outline(nodes: DataFrame, path: str = "path", label: str = "name") -> DataFrame:
+    """(line) of a tree, indented by depth, in path order (SNK-12)."""
+    depth = F.size(F.split(path, "/")) - 1
+    return nodes.orderBy(path).select(F.concat(F.repeat(F.lit("  "), depth), F.col(label)).alias("line"))
+
+
 def synthesized(registers: DataFrame, channels: int, name: str, width: int = 4) -> DataFrame:
     """A type with one register a channel (TRE-07), added to the types."""
     spark = registers.sparkSession

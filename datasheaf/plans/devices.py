@@ -40,6 +40,27 @@ def documents_of(devices: DataFrame, documents: DataFrame) -> DataFrame:
     return joins.fallback(devices, documents, [F.col("did"), as_range("7"), as_range("6"), as_range("3")], "device", ["did"]).select("did", "doc", "tier")
 
 
+def datasheet_tables(items: DataFrame) -> DataFrame:
+    """(doc, role, item_no) of a datasheet's tables (DOM-02): pinout, alternate functions, ordering information."""
+    caption = F.lower(F.coalesce(text.replace_subs("caption"), F.lit("")))
+    role = F.when(caption.rlike("alternate function"), "alternate_functions").when(caption.rlike("pin (?:definition|assignment|description)|pinout"), "pinout").when(caption.rlike("order(?:ing|able)"), "ordering")
+    return items.filter("kind = 'table'").select("doc", role.alias("role"), "item_no").filter("role is not null")
+
+
+def sensor_registers(rows: DataFrame) -> DataFrame:
+    """(doc, register, address, access) of a sensor's register list (DOM-05, DOM-12), reserved ones left out. ``rows``: doc, name, address and access as text, the address in hex or binary."""
+    clean = text.fold("name", text.REGISTER_RULES)
+    bare = F.regexp_replace(F.trim("address"), r"(?i)h$", "")
+    address = F.coalesce(text.number_of(F.when(bare.rlike("(?i)^0[xb]"), bare).otherwise(F.concat(F.lit("0x"), bare))), F.lit(None).cast("bigint"))
+    return rows.select("doc", clean.alias("register"), address.alias("address"), F.lower("access").alias("access")).filter("register <> '' and address is not null")
+
+
+def parameter(xml: Column, name: str, default: str | None = None) -> Column:
+    """A named parameter of a reference element, or the default (DOM-09)."""
+    found = F.xpath_string(xml, F.lit(f"//Parameter[@Name='{name}']/PossibleValue"))
+    return F.when(F.coalesce(found, F.lit("")) != "", found).otherwise(F.lit(default))
+
+
 # ---- memory maps ----------------------------------------------------------------
 
 

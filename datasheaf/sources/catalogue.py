@@ -57,6 +57,19 @@ def all_known(remote: DataFrame, local: DataFrame) -> DataFrame:
     return remote.unionByName(local).dropDuplicates(["filename"])
 
 
+def cached(spark: SparkSession, path: str, make) -> DataFrame:
+    """A table made once (SRC-26): read if it is there, else made, written and read."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def roots(base: str) -> dict[str, str]:
+    """Folders of a library, all under one root (SRC-27)."""
+    return {name: f"{base.rstrip('/')}/{name}" for name in ("archive", "html", "cache", "patches", "registers", "graph")}
+
+
 def classified(headings: DataFrame) -> DataFrame:
     """(doc, class) of a document library (SRC-25): datasheet, sensor or manual by the name and the first heading; others are left out."""
     name, head = F.col("doc"), F.coalesce(F.col("heading"), F.lit(""))
