@@ -119,10 +119,15 @@ def cut(distance: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Over as many tasks as a shuffle has: a few bytes a row here become many rows, which sizes of files don't tell."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def links(distinct: DataFrame, distance: int = 2, hot_key: int = HOT_KEY) -> DataFrame:
     """(a, b) with a < b for all pairs of the distinct fingerprints ``fp`` that differ in at most ``distance`` bits, each once."""
     places = cut(distance)
-    keyed = distinct.select("fp", F.explode(_variants(F.col("fp"), places)).alias("k")).select("fp", "k.*")
+    keyed = _spread(distinct, "fp").select("fp", F.explode(_variants(F.col("fp"), places)).alias("k")).select("fp", "k.*")
     counts = keyed.groupBy("place", "rest").agg(F.count("*").alias("n")).filter("n > 1")
     # merged, whatever Catalyst thinks of the size: it doesn't count what explode() makes of a row
     shared = staged(keyed.join(counts.hint("merge"), ["place", "rest"]), "variants")
@@ -278,7 +283,7 @@ def similar_links(texts: DataFrame, nodes: DataFrame, similarity: float = SIMILA
     compare = _Comparison(nodes, texts, similarity)
     places = cut(2)
     keys = F.flatten(F.transform("fps", lambda fp, k: F.transform(_variants(fp, places, WIDTH), lambda v: F.xxhash64(k, v["place"], v["rest"]))))
-    rows = nodes.select("node", F.explode(keys).alias("key"))
+    rows = _spread(nodes.select("node", "fps"), "node").select("node", F.explode(keys).alias("key"))
     leaders = rows.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     led = rows.join(leaders.hint("merge"), "key").filter(F.col("node") != F.col("first"))
     pairs = staged(led.select("first", "node").distinct(), "candidates")
