@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from datasheaf.llm._common import staged
+
 ALLOW, BLOCK = "allow", "block"
 
 #: (verdict, host, path)
@@ -82,12 +84,13 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     )
     listed = rules.select("verdict", F.col("host").alias("rule_host"), F.concat("host", "path").alias("rule")).withColumn("rule_digest", _digest(F.col("rule"))).withColumn("short", F.substring("rule_digest", 1, 8))
     rank = F.struct(F.length("rule").alias("n"), F.length("rule_host").alias("h"), "verdict", "rule")
-    best = (
+    best = staged(
         expressions.join(listed, "short")
         # the digest confirms the expression; the host says where it is cut
         .filter((F.col("digest") == F.col("rule_digest")) & (F.col("suffix") == F.col("rule_host")))
         .groupBy("host", "path")
-        .agg(F.max(rank).alias("best"))
+        .agg(F.max(rank).alias("best")),
+        "best-rules",
     )
     return (
         bare.join(best, ["host", "path"], "left")
