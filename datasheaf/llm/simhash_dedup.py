@@ -270,26 +270,34 @@ def _apart(rows: DataFrame, links_: DataFrame) -> DataFrame:
     return rows.join(x, "first", "left").join(y, "node", "left").filter(F.coalesce("x", "first") != F.coalesce("y", "node")).drop("x", "y")
 
 
+def _rest(rows: DataFrame, links_: DataFrame) -> DataFrame:
+    """All pairs (a, b) of nodes that share a key in ``rows`` (key, node) and that the links don't join yet, each once."""
+    roots = staged(components(links_), "roots")
+    placed = rows.join(roots.hint("merge"), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    several = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key")
+    placed = staged(placed.join(several.hint("merge"), "key"), "open")
+    a, b = placed.select("key", F.col("node").alias("a"), F.col("root").alias("x")), placed.select("key", F.col("node").alias("b"), F.col("root").alias("y"))
+    return staged(a.join(b.hint("merge"), "key").filter("a < b and x <> y").select("a", "b").distinct(), "rest")
+
+
 def similar_links(texts: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b) that join the nodes into groups of near copies.
 
-    In each key the first document leads, and the others are compared with it:
-    pairs grow as the rows of the index, not as the square of a group. First each
-    document meets the smallest of its leaders; of the other pairs, only those
-    that these links don't join yet are compared. An index with a measured
-    recall: a pair is missed if it shares no key, or only keys led by a third
-    document that is like at most one of the two.
+    First each document meets the smallest of its keys' first documents, then the
+    other first ones. Copies are mostly joined by then; every pair of a key that
+    isn't is compared last, so none depends on which document leads.
     """
     compare = _Comparison(nodes, texts, similarity)
     places = cut(2)
     keys = F.flatten(F.transform("fps", lambda fp, k: F.transform(_variants(fp, places, WIDTH), lambda v: F.xxhash64(k, v["place"], v["rest"]))))
     rows = _spread(nodes.select("node", "fps"), "node").select("node", F.explode(keys).alias("key"))
     leaders = rows.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    led = rows.join(leaders.hint("merge"), "key").filter(F.col("node") != F.col("first"))
-    pairs = staged(led.select("first", "node").distinct(), "candidates")
+    shared = staged(rows.join(leaders.hint("merge"), "key"), "shared")
+    pairs = staged(shared.filter(F.col("node") != F.col("first")).select("first", "node").distinct(), "candidates")
     as_link = F.col("first").alias("a"), F.col("node").alias("b")
     found = compare.similar(pairs.groupBy("node").agg(F.min("first").alias("first")).select(*as_link))
-    return found.unionByName(compare.similar(_apart(pairs, found).select(*as_link)))
+    found = found.unionByName(compare.similar(_apart(pairs, found).select(*as_link)))
+    return found.unionByName(compare.similar(_rest(shared.select("key", "node"), found).join(pairs.select(*as_link), ["a", "b"], "left_anti")))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

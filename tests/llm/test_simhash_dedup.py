@@ -91,3 +91,37 @@ def test_similar_texts(spark):
     kept = [r.doc_id for r in s.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
     assert set(range(n, n + 40)) <= set(kept)
     assert {i for i in range(0, n, 3)} <= set(kept) and len([i for i in kept if i < n]) <= 44
+
+
+def shingles(words):
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def some_words(rng, n):
+    return ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+
+
+def kept_ids(spark, texts):
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    return {r.doc_id for r in s.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+
+
+def test_copies_among_texts_that_share_a_passage(spark):
+    """The keys of near copies are led by other documents with the same passage."""
+    rng = random.Random(11)
+    passage = some_words(rng, 330)
+    texts = [passage + some_words(rng, 70) for _ in range(900)]
+    for t in texts[800:]:
+        copy = list(t)
+        for at in range(10, 330, 45):
+            copy[at] = some_words(rng, 1)[0]
+        texts.append(copy)
+    found = [shingles(t) for t in texts]
+    assert all(jaccard(found[800 + i], found[900 + i]) >= 0.8 and jaccard(found[i], found[900 + i]) < 0.8 for i in range(100))
+    kept = kept_ids(spark, texts)
+    # by the two-bit rule, a few are also linked with a document that is less like them
+    assert len([i for i in range(100) if {800 + i, 900 + i} <= kept]) <= 4 and len(kept) > 850
