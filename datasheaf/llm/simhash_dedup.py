@@ -16,6 +16,7 @@ none is dropped.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -83,19 +84,16 @@ def _segment(fp: Column, at: int, bits: int) -> Column:
     return F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << bits) - 1))
 
 
-def _variants(fp: Column, places: list[tuple[int, int]], width: int = 1) -> Column:
-    """Keys of the one-wildcard variants of the segments (first bit, bits): (segment, wildcard) and the other bits.
-
-    A wildcard is a run of ``width`` bits: wider ones make fewer variants, each of which finds more.
-    """
-    every = F.lit((1 << width) - 1).cast("bigint")
+def _variants(fp: Column, places: list[tuple[int, int]]) -> Column:
+    """Keys of the one-wildcard variants of the segments (first bit, bits): (segment, wildcard) and the other bits."""
+    every = F.lit(1).cast("bigint")
 
     def of(s: int, at: int, bits: int) -> Column:
         value = _segment(fp, at, bits)
         # a lambda, not one expression for each variant: plans stay small
         return F.transform(
-            F.sequence(F.lit(0), F.lit(-(-bits // width) - 1)),
-            lambda j: F.struct((j + s * 64).alias("place"), value.bitwiseAND(F.bitwise_not(F.call_function("shiftleft", every, j * width))).alias("rest")),
+            F.sequence(F.lit(0), F.lit(bits - 1)),
+            lambda j: F.struct((j + s * 64).alias("place"), value.bitwiseAND(F.bitwise_not(F.call_function("shiftleft", every, j))).alias("rest")),
         )
 
     return F.concat(*[of(s, at, bits) for s, (at, bits) in enumerate(places)])
@@ -201,41 +199,55 @@ def near_duplicates(docs: DataFrame, distance: int = 2, hot_key: int = HOT_KEY,
 
 #: Words in a shingle and Jaccard similarity from which two texts are near copies.
 SIMILAR_WORDS, SIMILARITY = 5, 0.8
-#: Fingerprints of a document, each with hashes of its own, and the width of the wildcards in their two segments.
-#: A similarity of 0.8 leaves about a tenth of the bits different; one of the segments then agrees outside a wildcard with a chance of 0.95, at 0.85 of 0.99.
-PRINTS, WIDTH = 12, 4
-#: Shares of differing bits below which a pair surely is similar, and above which it surely isn't; those between are compared by their shingles.
-SURE, DOUBTFUL = 0.03, 0.20
+#: One text of so many shows which shingles are common, and at most so many of those are told apart: it decides the cost of the index, never what it finds.
+COMMON_OF, COMMON_MOST = 8, 1 << 17
 
 
-def wide_simhash(text: bytes, prints: int = PRINTS) -> list[int]:
-    """``prints`` fingerprints, signed. The first is simhash(); the others mix each shingle's hash anew."""
-    words = text.lower().split()
-    n = max(len(words) - SHINGLE_WORDS + 1, min(len(words), 1))
-    if not n:
-        return [0] * prints
-    hashes = np.fromiter(shingle_hashes(words), np.uint64, n)
-    ones = np.zeros((prints, 64), np.int64)
-    for k in range(prints):
-        mixed = hashes
-        if k:
-            mixed = (hashes ^ np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
-            mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-            mixed ^= mixed >> np.uint64(29)
-        ones[k] = set_bits(mixed)
-    return np.packbits(2 * ones > n, axis=1, bitorder="little").view(np.int64).ravel().tolist()
+def _shingle_sets(texts: list[bytes]) -> list[pa.Array]:
+    return [pa.array([list(dict.fromkeys(np.fromiter(shingle_hashes(t.lower().split(), SIMILAR_WORDS), np.uint64).view(np.int64).tolist())) for t in texts], pa.list_(pa.int64()))]
 
 
-def _wide(texts: list[bytes]) -> list[pa.Array]:
-    return [pa.array([wide_simhash(t) for t in texts], pa.list_(pa.int64()))]
+def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of a sample of ``texts`` (digest, text), rising, and their ranks, the commonest last."""
+    some = texts.filter(F.pmod(F.xxhash64("digest"), F.lit(COMMON_OF)) == 0)
+    sets = per_row(some, [F.col("digest")], F.col("text"), _shingle_sets, "shingles array<bigint>")
+    found = sets.select(F.explode("shingles").alias("h")).groupBy("h").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "h").limit(COMMON_MOST).toArrow()
+    h = found.column("h").to_numpy()
+    order = np.argsort(h)
+    return h[order], len(h) - order
 
 
-def _shingle_sets(texts: list[bytes]) -> list[pa.Array]:
-    return [pa.array([list(dict.fromkeys(np.fromiter(shingle_hashes(t.lower().split(), SIMILAR_WORDS), np.uint64).view(np.int64).tolist())) for t in texts], pa.list_(pa.int64()))]
+def prefix_size(n: int, similarity: float) -> int:
+    """Two sets of at least that similarity share an element among so many first ones of each, whatever the common order."""
+    return n - math.ceil(similarity * n - 1e-9) + 1
+
+
+def prefixes(texts: DataFrame, similarity: float) -> DataFrame:
+    """(digest, key, size, place): the first shingles of each text, rare ones before common ones, the number of its shingles, and how many come before."""
+    common, ranks = common_shingles(texts)
+
+    def first(batch: list[bytes]) -> list[pa.Array]:
+        keys, sizes = [], []
+        for found in _shingle_sets(batch)[0]:
+            h = found.values.to_numpy()
+            rank = np.zeros(len(h), np.int64)
+            if len(common) and len(h):
+                at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+                rank = np.where(common[at] == h, ranks[at], 0)
+            keys.append(h[np.lexsort((h, rank))][: prefix_size(len(h), similarity)] if len(h) else h)
+            sizes.append(len(h))
+        return [pa.array(keys, pa.list_(pa.int64())), pa.array(sizes, pa.int64())]
+
+    made = per_row(texts, [F.col("digest")], F.col("text"), first, "keys array<bigint>, size bigint")
+    return made.select("digest", "size", F.posexplode("keys").alias("place", "key"))
+
+
+#: Of rows x and y that share a key: whether the sizes, and the places if it is the first key they share, leave the similarity possible.
+POSSIBLE = "least(s, t) >= {0} * greatest(s, t) - 1e-6 and (1 + {0}) * least(s - i, t - j) >= {0} * (s + t) - 1e-6"
 
 
 class _Comparison:
-    """Compares pairs of nodes. ``nodes`` has node, digest and fps, ``texts`` digest and text. The shingles of a text are made once, when a pair first needs them."""
+    """Compares pairs of nodes. ``nodes`` has node and digest, ``texts`` digest and text. The shingles of a text are made once, when a pair first needs them."""
 
     def __init__(self, nodes: DataFrame, texts: DataFrame, similarity: float) -> None:
         self.nodes, self.texts, self.similarity = nodes, texts, similarity
@@ -243,15 +255,11 @@ class _Comparison:
 
     def similar(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are similar."""
-        a, b = self.nodes.select(F.col("node").alias("a"), F.col("fps").alias("x")), self.nodes.select(F.col("node").alias("b"), F.col("fps").alias("y"))
-        bits = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, b: n + b)
-        measured = staged(pairs.join(a, "a").join(b, "b").select("a", "b", (bits / (64 * PRINTS)).alias("apart")).filter(F.col("apart") <= DOUBTFUL), "measured")
-        sure, doubtful = measured.filter(F.col("apart") <= SURE).select("a", "b"), measured.filter(F.col("apart") > SURE).select("a", "b")
-        sets = self._shingles(doubtful.select(F.col("a").alias("node")).union(doubtful.select("b")).distinct())
-        both = doubtful.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+        sets = self._shingles(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
         common = F.size(F.array_intersect("x", "y"))
         near = both.filter(common >= self.similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
-        return staged(sure.unionByName(near), "near")
+        return staged(near, "near")
 
     def _shingles(self, wanted: DataFrame) -> DataFrame:
         new = wanted if self.sets is None else wanted.join(self.sets.select("node"), "node", "left_anti")
@@ -270,34 +278,36 @@ def _apart(rows: DataFrame, links_: DataFrame) -> DataFrame:
     return rows.join(x, "first", "left").join(y, "node", "left").filter(F.coalesce("x", "first") != F.coalesce("y", "node")).drop("x", "y")
 
 
-def _rest(rows: DataFrame, links_: DataFrame) -> DataFrame:
-    """All pairs (a, b) of nodes that share a key in ``rows`` (key, node) and that the links don't join yet, each once."""
+def _rest(rows: DataFrame, links_: DataFrame, similarity: float) -> DataFrame:
+    """All possible pairs (a, b) of nodes that share a key in ``rows`` and that the links don't join yet, each once."""
     roots = staged(components(links_), "roots")
-    placed = rows.join(roots.hint("merge"), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    placed = rows.join(roots.hint("merge"), "node", "left").select("key", "node", "size", "place", F.coalesce("root", "node").alias("root"))
     several = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key")
     placed = staged(placed.join(several.hint("merge"), "key"), "open")
-    a, b = placed.select("key", F.col("node").alias("a"), F.col("root").alias("x")), placed.select("key", F.col("node").alias("b"), F.col("root").alias("y"))
-    return staged(a.join(b.hint("merge"), "key").filter("a < b and x <> y").select("a", "b").distinct(), "rest")
+    a = placed.select("key", F.col("node").alias("a"), F.col("root").alias("x"), F.col("size").alias("s"), F.col("place").alias("i"))
+    b = placed.select("key", F.col("node").alias("b"), F.col("root").alias("y"), F.col("size").alias("t"), F.col("place").alias("j"))
+    return staged(a.join(b.hint("merge"), "key").filter("a < b and x <> y and " + POSSIBLE.format(similarity)).select("a", "b").distinct(), "rest")
 
 
 def similar_links(texts: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b) that join the nodes into groups of near copies.
 
-    First each document meets the smallest of its keys' first documents, then the
-    other first ones. Copies are mostly joined by then; every pair of a key that
-    isn't is compared last, so none depends on which document leads.
+    A prefix filter: each text is indexed under its first shingles, rare ones
+    first, so many that two texts of that similarity share one at least. First
+    each document meets the smallest of its keys' first documents, then the other
+    first ones. Copies are mostly joined by then; every possible pair of a key
+    that isn't is compared last, so none is missed.
     """
     compare = _Comparison(nodes, texts, similarity)
-    places = cut(2)
-    keys = F.flatten(F.transform("fps", lambda fp, k: F.transform(_variants(fp, places, WIDTH), lambda v: F.xxhash64(k, v["place"], v["rest"]))))
-    rows = _spread(nodes.select("node", "fps"), "node").select("node", F.explode(keys).alias("key"))
+    rows = prefixes(texts, similarity).join(nodes, "digest").select("node", "key", "size", "place").distinct()
+    rows = staged(rows, "prefixes")
     leaders = rows.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     shared = staged(rows.join(leaders.hint("merge"), "key"), "shared")
     pairs = staged(shared.filter(F.col("node") != F.col("first")).select("first", "node").distinct(), "candidates")
     as_link = F.col("first").alias("a"), F.col("node").alias("b")
     found = compare.similar(pairs.groupBy("node").agg(F.min("first").alias("first")).select(*as_link))
     found = found.unionByName(compare.similar(_apart(pairs, found).select(*as_link)))
-    return found.unionByName(compare.similar(_rest(shared.select("key", "node"), found).join(pairs.select(*as_link), ["a", "b"], "left_anti")))
+    return found.unionByName(compare.similar(_rest(shared.drop("first"), found, similarity).join(pairs.select(*as_link), ["a", "b"], "left_anti")))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -311,18 +321,18 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, distance: int = 2,
     numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     id_, text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
     digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-    printed = staged(per_row(numbered, [F.col(id_).alias("id"), digest.alias("digest")], F.col(text), _wide, "fps array<bigint>"), "fingerprints")
+    printed = staged(per_row(numbered, [F.col(id_).alias("id"), digest.alias("digest")], F.col(text), _fingerprints, "fp bigint"), "fingerprints")
     rank = F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("digest").alias("digest")))
     # a text is a node; its number is short where its digest would be long, and no two texts share one
-    nodes = staged(printed.groupBy("digest").agg(rank.alias("first"), F.min("fps").alias("fps")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    nodes = staged(printed.groupBy("digest").agg(rank.alias("first"), F.min("fp").alias("fp")).withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # all texts of a fingerprint hang on its first one
-    own = nodes.select("node", F.col("fps")[0].alias("fp"))
+    own = nodes.select("node", "fp")
     heads = staged(own.groupBy("fp").agg(F.min("node").alias("head")), "heads")
     same = own.join(heads, "fp").select(F.col("head").alias("a"), F.col("node").alias("b"))
     few = links(heads.select("fp"), distance).join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     texts = numbered.select(digest.alias("digest"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    roots = components(same.union(few).union(similar_links(texts, nodes.select("node", "digest", "fps"), similarity)))
+    roots = components(same.union(few).union(similar_links(texts, nodes.select("node", "digest"), similarity)))
 
     placed = staged(nodes.select("node", "digest", "first").join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root")), "placed")
     kept = staged(placed.groupBy("root").agg(F.min("first").alias("kept")), "kept")
