@@ -137,3 +137,13 @@ def test_blocks_replaced_and_appended(spark):
     found = [shingles(t) for t in texts]
     assert all(0.8 <= jaccard(a, b) < 0.86 for a, b in zip(found[::2], found[1::2], strict=True))
     assert kept_ids(spark, texts) == set(range(0, 300, 2))
+
+
+def test_a_repeated_line_is_counted_once(spark):
+    rng = random.Random(13)
+    texts = []
+    for _ in range(10):
+        base = some_words(rng, 300)
+        texts += [base, base + some_words(rng, 6) * 17]
+    assert all(jaccard(shingles(a), shingles(b)) > 0.95 for a, b in zip(texts[::2], texts[1::2], strict=True))
+    assert kept_ids(spark, texts) == set(range(0, 20, 2))
