@@ -301,13 +301,13 @@ def similar_links(texts: DataFrame, nodes: DataFrame, similarity: float = SIMILA
     compare = _Comparison(nodes, texts, similarity)
     rows = prefixes(texts, similarity).join(nodes, "digest").select("node", "key", "size", "place").distinct()
     rows = staged(rows, "prefixes")
-    leaders = rows.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    leaders = rows.groupBy("key").agg(F.min(F.struct("node", F.col("size").alias("t"), F.col("place").alias("j"))).alias("led"), F.count("*").alias("n")).filter("n > 1").select("key", F.col("led.node").alias("first"), "led.t", "led.j")
     shared = staged(rows.join(leaders.hint("merge"), "key"), "shared")
-    pairs = staged(shared.filter(F.col("node") != F.col("first")).select("first", "node").distinct(), "candidates")
+    pairs = staged(shared.withColumnsRenamed({"size": "s", "place": "i"}).filter("node <> first and " + POSSIBLE.format(similarity)).select("first", "node").distinct(), "candidates")
     as_link = F.col("first").alias("a"), F.col("node").alias("b")
     found = compare.similar(pairs.groupBy("node").agg(F.min("first").alias("first")).select(*as_link))
     found = found.unionByName(compare.similar(_apart(pairs, found).select(*as_link)))
-    return found.unionByName(compare.similar(_rest(shared.drop("first"), found, similarity).join(pairs.select(*as_link), ["a", "b"], "left_anti")))
+    return found.unionByName(compare.similar(_rest(shared.select("key", "node", "size", "place"), found, similarity).join(pairs.select(*as_link), ["a", "b"], "left_anti")))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
