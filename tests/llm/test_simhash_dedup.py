@@ -147,3 +147,15 @@ def test_a_repeated_line_is_counted_once(spark):
         texts += [base, base + some_words(rng, 6) * 17]
     assert all(jaccard(shingles(a), shingles(b)) > 0.95 for a, b in zip(texts[::2], texts[1::2], strict=True))
     assert kept_ids(spark, texts) == set(range(0, 20, 2))
+
+
+def test_a_repeated_phrase_alone_links_nothing(spark):
+    """Beyond two bits only the shingles decide."""
+    rng = random.Random(14)
+    texts = []
+    while len(texts) < 40:
+        phrase = some_words(rng, 49)
+        a, b = (phrase * 70 + some_words(rng, 1800) for _ in range(2))
+        if (s.simhash(" ".join(a).encode()) ^ s.simhash(" ".join(b).encode())).bit_count() > 2:
+            texts += [a, b]
+    assert kept_ids(spark, texts) == set(range(40))
