@@ -126,8 +126,8 @@ def links(distinct: DataFrame, distance: int = 2, hot_key: int = HOT_KEY) -> Dat
     """(a, b) with a < b for all pairs of the distinct fingerprints ``fp`` that differ in at most ``distance`` bits, each once."""
     places = cut(distance)
     keyed = _spread(distinct, "fp").select("fp", F.explode(_variants(F.col("fp"), places)).alias("k")).select("fp", "k.*")
-    counts = keyed.groupBy("place", "rest").agg(F.count("*").alias("n")).filter("n > 1")
-    # merged, whatever Catalyst thinks of the size: it doesn't count what explode() makes of a row
+    # written before it is joined, so AQE can split a hot key; merged, whatever Catalyst thinks of the size
+    counts = staged(keyed.groupBy("place", "rest").agg(F.count("*").alias("n")).filter("n > 1"), "keys")
     shared = staged(keyed.join(counts.hint("merge"), ["place", "rest"]), "variants")
     apart = F.col("a").bitwiseXOR(F.col("b"))
     near = (F.bit_count(apart) <= distance) & (_first_place(apart, places) == F.col("place"))
@@ -152,27 +152,35 @@ def links(distinct: DataFrame, distance: int = 2, hot_key: int = HOT_KEY) -> Dat
     return reduce(DataFrame.unionByName, parts, found)
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether the links (a, b), a > b, join each node to its smallest one directly: a node has one link, or only links to it."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+    return not ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or up = 1 and down = 1").agg(F.count("*")).first()[0]
+
+
 def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     """(node, root) of the nodes of ``edges`` (a, b): alternating large-star and small-star contraction.
 
     Each round replaces the links of a node by links to the smallest node it
     knows; rounds grow as the logarithm of the longest chain. Rounds are written
-    to the shared folder, so a lost executor costs one of them at most.
+    to the shared folder, so a lost executor costs one of them at most. Raises
+    RuntimeError if that many rounds don't suffice.
     """
-    edges = staged(edges.select("a", "b").filter("a <> b").distinct(), "links")
-    before = (0, None)
-    for _ in range(most_rounds if edges.take(1) else 0):
+    edges = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links")
+    for _ in range(most_rounds):
+        if _are_stars(edges):
+            break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        # written before they are joined: AQE splits a hot node only where no aggregation stands in between
+        least = staged(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")), "least")
+        large = staged(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct(), "large")
         # every link now goes from the larger node to a smaller one
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = staged(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").select(F.col("b").alias("x"), F.col("m")).filter("x <> m").select(F.col("x").alias("a"), F.col("m").alias("b"))
         edges = staged(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "stars")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
+    else:
+        if not _are_stars(edges):
+            raise RuntimeError(f"components aren't done after {most_rounds} rounds")
     roots = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
@@ -200,54 +208,98 @@ def near_duplicates(docs: DataFrame, distance: int = 2, hot_key: int = HOT_KEY,
 #: Words in a shingle and Jaccard similarity from which two texts are near copies.
 SIMILAR_WORDS, SIMILARITY = 5, 0.8
 #: One text of so many shows which shingles are common, and at most so many of those are told apart: it decides the cost of the index, never what it finds.
-COMMON_OF, COMMON_MOST = 8, 1 << 17
+COMMON_OF, COMMON_MOST = 16, 1 << 17
+#: Chance, over the hash of the shingles, that the index misses a pair of the least similarity.
+MISS = 1e-9
+_FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+
+
+def shingle_set(text: bytes, size: int = SIMILAR_WORDS) -> np.ndarray:
+    """The distinct shingles as rising 64-bit hashes. Fewer words than ``size`` are one shingle, and so is a text without words."""
+    words = text.lower().split()
+    hashed = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    n = max(len(words) - size + 1, 1)
+    out = np.full(n, min(len(words), size), np.uint64)
+    for j in range(min(len(words), size)):
+        out = out * _FACTOR + hashed[j : j + n]
+    for shift, by in zip((30, 27), _MIX, strict=True):
+        out = (out ^ (out >> np.uint64(shift))) * by
+    return np.unique(out ^ (out >> np.uint64(31)))
+
+
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Bit i: whether an odd number of the shingles fall on i. There are 2 to 4 bits a shingle, 64 at least, a power of two.
+
+    The bits in which two texts differ are never more than the shingles that
+    only one of them has. The longer of two is folded to the shorter's length.
+    """
+    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
 
+def prefix_size(n: int, similarity: float) -> int:
+    """Two sets of at least that similarity share an element among so many first ones of each, whatever the common order."""
+    return n - math.ceil(similarity * n - 1e-9) + 1
+
+
+def index_keys(shingles: np.ndarray, common: np.ndarray, ranks: np.ndarray, similarity: float = SIMILARITY, miss: float = MISS) -> np.ndarray:
+    """The shingles that a text is indexed under: the first ones in an order that all texts share.
+
+    Shingles that aren't ``common`` come first, by their hash, then the common
+    ones, the commonest last. The first prefix_size() would do for any order. Of
+    the u that aren't common, prefix_size() - 1 at most are missing in a text of
+    that similarity, and a hash's order is as good as random: k of them are all
+    missing with a chance of ((prefix_size() - 1) / u) ** k, so k that make it
+    ``miss`` are enough where that is fewer.
+    """
+    n, h = len(shingles), shingles.view(np.int64)
+    rank = np.zeros(n, np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+        rank = np.where(common[at] == h, ranks[at], 0)
+    k, rare = prefix_size(n, similarity), int((rank == 0).sum())
+    if 1 < k <= rare:
+        k = min(k, math.ceil(math.log(miss) / math.log((k - 1) / rare))) if k - 1 < rare else k
+    return h[np.lexsort((shingles, rank))[:k]]
 
-def _shingle_sets(texts: list[bytes]) -> list[pa.Array]:
-    return [pa.array([list(dict.fromkeys(np.fromiter(shingle_hashes(t.lower().split(), SIMILAR_WORDS), np.uint64).view(np.int64).tolist())) for t in texts], pa.list_(pa.int64()))]
 
+def _sets(texts: list[bytes]) -> list[pa.Array]:
+    return [pa.array([shingle_set(t).view(np.int64) for t in texts], pa.list_(pa.int64()))]
 
-def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles of a sample of ``texts`` (digest, text), rising, and their ranks, the commonest last."""
-    some = texts.filter(F.pmod(F.xxhash64("digest"), F.lit(COMMON_OF)) == 0)
-    sets = per_row(some, [F.col("digest")], F.col("text"), _shingle_sets, "shingles array<bigint>")
+
+def common_shingles(texts: DataFrame, text: Column) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of a sample of the texts, rising as signed numbers, and their ranks, the commonest last."""
+    some = texts.filter(F.pmod(F.xxhash64(text), F.lit(COMMON_OF)) == 0)
+    sets = per_row(some, [F.lit(0).alias("none")], text, _sets, "shingles array<bigint>")
     found = sets.select(F.explode("shingles").alias("h")).groupBy("h").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "h").limit(COMMON_MOST).toArrow()
     h = found.column("h").to_numpy()
     order = np.argsort(h)
     return h[order], len(h) - order
 
 
-def prefix_size(n: int, similarity: float) -> int:
-    """Two sets of at least that similarity share an element among so many first ones of each, whatever the common order."""
-    return n - math.ceil(similarity * n - 1e-9) + 1
-
-
-def prefixes(texts: DataFrame, similarity: float) -> DataFrame:
-    """(digest, key, size, place): the first shingles of each text, rare ones before common ones, the number of its shingles, and how many come before."""
-    common, ranks = common_shingles(texts)
+def signatures(docs: DataFrame, keep: list[Column], text: Column, similarity: float = SIMILARITY) -> DataFrame:
+    """``keep``, then fp, size (distinct shingles), keys (see index_keys) and parity (see parities), in one pass over the texts."""
+    common, ranks = common_shingles(docs, text)
 
-    def first(batch: list[bytes]) -> list[pa.Array]:
-        keys, sizes = [], []
-        for found in _shingle_sets(batch)[0]:
-            h = found.values.to_numpy()
-            rank = np.zeros(len(h), np.int64)
-            if len(common) and len(h):
-                at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-                rank = np.where(common[at] == h, ranks[at], 0)
-            keys.append(h[np.lexsort((h, rank))][: prefix_size(len(h), similarity)] if len(h) else h)
-            sizes.append(len(h))
-        return [pa.array(keys, pa.list_(pa.int64())), pa.array(sizes, pa.int64())]
+    def of(texts: list[bytes]) -> list[pa.Array]:
+        sets = [shingle_set(t) for t in texts]
+        longs = pa.list_(pa.int64())
+        return [*_fingerprints(texts), pa.array([len(x) for x in sets], pa.int64()), pa.array([index_keys(x, common, ranks, similarity) for x in sets], longs), pa.array([parities(x) for x in sets], longs)]
 
-    made = per_row(texts, [F.col("digest")], F.col("text"), first, "keys array<bigint>, size bigint")
-    return made.select("digest", "size", F.posexplode("keys").alias("place", "key"))
+    return per_row(docs, keep, text, of, "fp bigint, size bigint, keys array<bigint>, parity array<bigint>")
 
 
-#: Of rows x and y that share a key: whether the sizes, and the places if it is the first key they share, leave the similarity possible.
-POSSIBLE = "least(s, t) >= {0} * greatest(s, t) - 1e-6 and (1 + {0}) * least(s - i, t - j) >= {0} * (s + t) - 1e-6"
+def _possible(similarity: float) -> str:
+    """SQL: whether sizes s and t and parities p and q leave the similarity possible. It is never false for a pair that has it."""
+    few = f"{(1 - similarity) / (1 + similarity)} * (s + t) + 1e-6"
+    folded = "({0}[i] ^ if(size({0}) > size({1}), {0}[i + size({1})], 0L))"
+    apart = f"aggregate(sequence(0, least(size(p), size(q)) - 1), 0, (n, i) -> n + bit_count({folded.format('p', 'q')} ^ {folded.format('q', 'p')}))"
+    return f"least(s, t) >= {similarity} * greatest(s, t) - 1e-6 and {apart} <= {few}"
 
 
 class _Comparison:
-    """Compares pairs of nodes. ``nodes`` has node and digest, ``texts`` digest and text. The shingles of a text are made once, when a pair first needs them."""
+    """Compares pairs of nodes. ``nodes`` has node, digest, size and parity, ``texts`` digest and text. The shingles of a text are made once, when a pair first needs them."""
 
     def __init__(self, nodes: DataFrame, texts: DataFrame, similarity: float) -> None:
         self.nodes, self.texts, self.similarity = nodes, texts, similarity
@@ -255,84 +307,101 @@ class _Comparison:
 
     def similar(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are similar."""
+        x, y = (self.nodes.select(F.col("node").alias(n), F.col("size").alias(s), F.col("parity").alias(p)).hint("merge") for n, s, p in (("a", "s", "p"), ("b", "t", "q")))
+        pairs = staged(pairs.filter("a <> b").distinct().join(x, "a").join(y, "b").filter(_possible(self.similarity)).select("a", "b"), "pairs")
         sets = self._shingles(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+        x, y = (sets.select(F.col("node").alias(n), F.col("shingles").alias(s)).hint("merge") for n, s in (("a", "x"), ("b", "y")))
         common = F.size(F.array_intersect("x", "y"))
-        near = both.filter(common >= self.similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
+        near = pairs.join(x, "a").join(y, "b").filter(common >= self.similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
         return staged(near, "near")
 
     def _shingles(self, wanted: DataFrame) -> DataFrame:
         new = wanted if self.sets is None else wanted.join(self.sets.select("node"), "node", "left_anti")
         named = staged(new.join(self.nodes.select("node", "digest"), "node"), "wanted")
         if self.sets is None or named.take(1):
-            some = self.texts.join(named, "digest").select("node", "text")
-            made = staged(per_row(some, [F.col("node")], F.col("text"), _shingle_sets, "shingles array<bigint>").dropDuplicates(["node"]), "shingles")
+            some = self.texts.join(named, "digest").dropDuplicates(["node"]).select("node", "text")
+            made = staged(per_row(some, [F.col("node")], F.col("text"), _sets, "shingles array<bigint>"), "shingles")
             self.sets = made if self.sets is None else self.sets.unionByName(made)
         return self.sets
 
 
-def _apart(rows: DataFrame, links_: DataFrame) -> DataFrame:
-    """Rows (first, node) that the links don't join yet."""
-    roots = staged(components(links_), "roots")
-    x, y = roots.select(F.col("node").alias("first"), F.col("root").alias("x")), roots.select("node", F.col("root").alias("y"))
-    return rows.join(x, "first", "left").join(y, "node", "left").filter(F.coalesce("x", "first") != F.coalesce("y", "node")).drop("x", "y")
+def _open(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, node, root) of the keys whose nodes the links don't join yet."""
+    roots = staged(components(found), "roots")
+    placed = staged(shared.join(roots.hint("merge"), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "rooted")
+    several = staged(placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key"), "several")
+    return staged(placed.join(several.hint("merge"), "key"), "open")
 
 
-def _rest(rows: DataFrame, links_: DataFrame, similarity: float) -> DataFrame:
-    """All possible pairs (a, b) of nodes that share a key in ``rows`` and that the links don't join yet, each once."""
-    roots = staged(components(links_), "roots")
-    placed = rows.join(roots.hint("merge"), "node", "left").select("key", "node", "size", "place", F.coalesce("root", "node").alias("root"))
-    several = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key")
-    placed = staged(placed.join(several.hint("merge"), "key"), "open")
-    a = placed.select("key", F.col("node").alias("a"), F.col("root").alias("x"), F.col("size").alias("s"), F.col("place").alias("i"))
-    b = placed.select("key", F.col("node").alias("b"), F.col("root").alias("y"), F.col("size").alias("t"), F.col("place").alias("j"))
-    return staged(a.join(b.hint("merge"), "key").filter("a < b and x <> y and " + POSSIBLE.format(similarity)).select("a", "b").distinct(), "rest")
+def _rest(rows: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """All possible pairs (a, b) of nodes that share a key in ``rows`` (key, node, root) and have different roots, each once.
 
-
-def similar_links(texts: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (a, b) that join the nodes into groups of near copies.
-
-    A prefix filter: each text is indexed under its first shingles, rare ones
-    first, so many that two texts of that similarity share one at least. First
-    each document meets the smallest of its keys' first documents, then the other
-    first ones. Copies are mostly joined by then; every possible pair of a key
-    that isn't is compared last, so none is missed.
+    A key's nodes of the root that most of them have are met by the others
+    only, so what is compared is little more than the pairs to be told apart.
+    """
+    sizes = staged(rows.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("main")), "mains")
+    placed = rows.join(sizes.hint("merge"), "key").withColumn("main", F.col("root") == F.col("main"))
+    placed = staged(placed.join(nodes.select("node", "size", "keys", "parity").hint("merge"), "node"), "placed-keys")
+    a = placed.filter("not main").select("key", F.col("node").alias("a"), F.col("root").alias("x"), F.col("size").alias("s"), F.col("parity").alias("p"), F.col("keys").alias("k"))
+    b = placed.select("key", F.col("node").alias("b"), F.col("root").alias("y"), F.col("main").alias("of_main"), F.col("size").alias("t"), F.col("parity").alias("q"), F.col("keys").alias("l"))
+    once = "x <> y and (of_main or a < b) and " + _possible(similarity) + " and array_intersect(k, l)[0] = key"
+    return a.join(b.hint("merge"), "key").filter(once).select("a", "b")
+
+
+def similar_links(nodes: DataFrame, texts: DataFrame, first: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) that join the nodes into groups of near copies; ``first`` are pairs to compare before all others.
+
+    Texts of that similarity share a key of the index. Each node meets the
+    smallest leader of its keys, then one node of each key drawn by a hash: in
+    proportion to the index, whatever the size of a group. That joins the
+    copies; every possible pair that shares a key and isn't joined is compared
+    last, so none is missed.
     """
     compare = _Comparison(nodes, texts, similarity)
-    rows = prefixes(texts, similarity).join(nodes, "digest").select("node", "key", "size", "place").distinct()
-    rows = staged(rows, "prefixes")
-    leaders = rows.groupBy("key").agg(F.min(F.struct("node", F.col("size").alias("t"), F.col("place").alias("j"))).alias("led"), F.count("*").alias("n")).filter("n > 1").select("key", F.col("led.node").alias("first"), "led.t", "led.j")
-    shared = staged(rows.join(leaders.hint("merge"), "key"), "shared")
-    pairs = staged(shared.withColumnsRenamed({"size": "s", "place": "i"}).filter("node <> first and " + POSSIBLE.format(similarity)).select("first", "node").distinct(), "candidates")
-    as_link = F.col("first").alias("a"), F.col("node").alias("b")
-    found = compare.similar(pairs.groupBy("node").agg(F.min("first").alias("first")).select(*as_link))
-    found = found.unionByName(compare.similar(_apart(pairs, found).select(*as_link)))
-    return found.unionByName(compare.similar(_rest(shared.select("key", "node", "size", "place"), found, similarity).join(pairs.select(*as_link), ["a", "b"], "left_anti")))
+    index = nodes.select("node", F.explode("keys").alias("key"))
+    leaders = staged(index.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1").select("key", "first"), "leaders")
+    shared = staged(index.join(leaders.hint("merge"), "key"), "shared")
+    led = shared.filter("node <> first").groupBy("node").agg(F.min("first").alias("first")).select(F.col("first").alias("a"), F.col("node").alias("b"))
+    found = compare.similar(led.unionByName(first))
+
+    rows = _open(shared, found)
+    drawn = staged(rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node", "root")).alias("d")).select("key", F.col("d.node").alias("a"), F.col("d.root").alias("x")), "drawn")
+    found = found.unionByName(compare.similar(rows.join(drawn.hint("merge"), "key").filter("x <> root").select("a", F.col("node").alias("b"))))
+
+    return found.unionByName(compare.similar(_rest(_open(rows.select("key", "node"), found), nodes, similarity)))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one document of each group of near copies, with all their columns.
 
-    Links are those of near_duplicates() and all pairs found whose 5-word
-    shingles have at least that Jaccard similarity. The row with the smallest id
-    stays; of equal ids the one whose text has the smallest digest; of repeated
-    rows one. Null ids come last; null texts are empty texts.
+    Two texts are near copies if their sets of 5-word shingles (A-Z lower-cased)
+    have at least that Jaccard similarity; a group is what such pairs join.
+    Candidates are the pairs whose fingerprints are within ``distance`` bits, as
+    in near_duplicates(), and those that share a key of the shingle index.
+
+    The row with the smallest id stays; of equal ids the one whose text has the
+    smallest digest; of repeated rows one. Null ids come last. Null texts are
+    empty texts; texts without words are copies of each other. No rows give no
+    rows; names of other columns may clash with any used here.
     """
     numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     id_, text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
-    digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-    printed = staged(per_row(numbered, [F.col(id_).alias("id"), digest.alias("digest")], F.col(text), _fingerprints, "fp bigint"), "fingerprints")
+    body = F.coalesce(F.col(text), F.lit(""))
+    digest = F.unhex(F.sha2(body, 256))
+    printed = staged(signatures(numbered, [F.col(id_).alias("id"), digest.alias("digest"), F.monotonically_increasing_id().alias("row")], body, similarity), "signatures")
     rank = F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("digest").alias("digest")))
-    # a text is a node; its number is short where its digest would be long, and no two texts share one
-    nodes = staged(printed.groupBy("digest").agg(rank.alias("first"), F.min("fp").alias("fp")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    # a text is a node; its number is that of one of its rows, and no two texts share one
+    texts = staged(printed.groupBy("digest").agg(rank.alias("first"), F.min("row").alias("node")), "texts")
+    nodes = staged(texts.join(printed.select(F.col("row").alias("node"), "fp", "size", "keys", "parity").hint("merge"), "node"), "nodes")
 
-    # all texts of a fingerprint hang on its first one
+    # all texts of a fingerprint meet its first one, and first ones those of near fingerprints
     own = nodes.select("node", "fp")
     heads = staged(own.groupBy("fp").agg(F.min("node").alias("head")), "heads")
     same = own.join(heads, "fp").select(F.col("head").alias("a"), F.col("node").alias("b"))
-    few = links(heads.select("fp"), distance).join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    texts = numbered.select(digest.alias("digest"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    roots = components(same.union(few).union(similar_links(texts, nodes.select("node", "digest"), similarity)))
+    x, y = heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), heads.select(F.col("fp").alias("b"), F.col("head").alias("y"))
+    few = links(heads.select("fp"), distance).join(x, "a").join(y, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    whole = numbered.select(digest.alias("digest"), body.alias("text"))
+    roots = components(similar_links(nodes, whole, same.union(few), similarity))
 
     placed = staged(nodes.select("node", "digest", "first").join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root")), "placed")
     kept = staged(placed.groupBy("root").agg(F.min("first").alias("kept")), "kept")
