@@ -5,11 +5,12 @@ follows it only through chains of merges of falling rank: the token's last part
 could have merged with what follows, had that been formed before, which depends
 on what follows it in turn. ``sufficient_lookahead`` finds the longest chain
 from the merge list alone. The transducer holds a few times that many symbols,
-whatever the length of the text, and emits tokens as soon as so many symbols
-follow them.
+whatever the length of the word, and emits tokens as soon as so many symbols
+follow them, or the word ends. All words go through it; tokens of short words
+are remembered. A text is read in blocks, and its ids leave as they come.
 
-Decoding. Tokens become bytes, bytes become text in a state machine that holds
-the unfinished bytes of one character at most.
+Decoding. Ids become bytes, bytes become text in a state machine that holds the
+unfinished bytes of one character at most.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
-import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -26,12 +26,19 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from datasheaf.llm._common import per_row
 
 #: Words remembered by a worker, in two generations of some 50 MB, and the longest one kept.
 MEMORY, MEMORY_CHARS = 1 << 17, 48
 NEVER = 1 << 60
+#: Characters of a text that are read at a time, and the last ones of an open word that are held back.
+BLOCK, SPARE = 1 << 16, 64
+#: Characters up to here compose with none before them, and their kinds are the same in all versions of Unicode.
+UNFAMILIAR = regex.compile(r"[^\x00-\u024f]")
+#: Some of the characters that never compose with the one before: Latin, Cyrillic, Hebrew, Arabic, Devanagari, Thai, kana, ideographs, Hangul syllables.
+STARTER = regex.compile(r"[\x00-\u024f\u0400-\u0481\u05d0-\u05ea\u0620-\u064a\u0904-\u0939\u0e01-\u0e30\u3041-\u3096\u30a1-\u30fa\u3400-\u9fff\uac00-\ud7a3\U00020000-\U0003ffff]")
 #: White space as the vocabulary's patterns see it.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -89,22 +96,43 @@ class Transducer:
 
     def stream(self, symbols: Iterable[str], size=len) -> Iterator[str]:
         """Tokens of the symbols; ``size`` gives the symbols in a token."""
-        held: list[str] = []
+        held = Held(self, size)
         for s in symbols:
-            held.append(s)
-            if len(held) >= self.window:
-                stable, at = len(held) - self.lookahead, 0
-                for token in self.merge(held):
-                    if at + size(token) > stable:
+            yield from held.push((s,))
+        yield from held.close()
+
+
+class Held:
+    """The symbols of one word that aren't tokens for good yet; ``window`` at most."""
+
+    def __init__(self, machine: Transducer, size=len) -> None:
+        self.machine, self.size = machine, size
+        self.symbols: list[str] = []
+
+    def push(self, symbols: Iterable[str]) -> Iterator[str]:
+        """Tokens that no further symbol can change."""
+        for s in symbols:
+            self.symbols.append(s)
+            if len(self.symbols) >= self.machine.window:
+                stable, at = len(self.symbols) - self.machine.lookahead, 0
+                for token in self.machine.merge(self.symbols):
+                    if at + self.size(token) > stable:
                         break
                     yield token
-                    at += size(token)
-                held = held[at:]
-        yield from self.merge(held)
+                    at += self.size(token)
+                del self.symbols[:at]
+
+    def close(self) -> Iterator[str]:
+        yield from self.machine.merge(self.symbols)
+        self.symbols = []
 
 
 class WordBpe:
-    """A tokenizer file of words: composed, lower-cased, cut by a pattern, each word's bytes merged with an end mark on the last."""
+    """A tokenizer file of words: composed, lower-cased, cut by a pattern, each word's bytes merged with an end mark on the last.
+
+    A text goes through in blocks: bytes to characters, words, symbols, tokens,
+    ids. What is held is one block, and the open end of a word that is longer.
+    """
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
@@ -120,9 +148,13 @@ class WordBpe:
         self.pattern = regex.compile(cut.replace(r"\s", WHITE))
         self.marked = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.letters = byte_letters()
+        self.byte_of = {c: b for b, c in enumerate(self.letters)}
         self.raw = {t: i.to_bytes(4, "little") for i, t in self.texts.items()}
-        self.memory: dict[str, tuple[bytes, bytes]] = {}
-        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # character tables beyond FAMILIAR are the library's own: they change with each version of Unicode
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
 
     def symbols(self, token: str) -> int:
         """Symbols in a token: the end mark belongs to the last one."""
@@ -130,56 +162,145 @@ class WordBpe:
 
     def normal(self, text: str) -> str:
         """Composed (NFC) and lower-cased one character at a time, so a final sigma is none."""
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return self.normalizer.normalize_str(text) if UNFAMILIAR.search(text) else text.lower()
+
+    def words(self, normal: str) -> list[str]:
+        if not UNFAMILIAR.search(normal):
+            return self.pattern.findall(normal)
+        return [bytes(map(self.byte_of.__getitem__, piece)).decode() for piece, _ in self.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def word(self, word: str) -> tuple[bytes, bytes]:
-        """The ids as little-endian 32 bits, and the bytes that they decode to."""
+    def word(self, word: str) -> bytes:
+        """The ids as little-endian 32 bits."""
         known = self.memory.get(word)
         if known is None:
             known = self.older.pop(word, None)
             if known is None:
-                letters = [self.letters[b] for b in word.encode()]
-                letters[-1] += self.end
-                # what fits the window needs no streaming
-                tokens = self.bpe.merge(letters) if len(letters) < self.bpe.window else list(self.bpe.stream(letters, self.symbols))
-                known = b"".join([self.raw[t] for t in tokens]), " ".join(tokens).encode()
+                known = b"".join([self.raw[t] for t in self.bpe.stream(self.spelled(word), self.symbols)])
             if len(word) <= MEMORY_CHARS:
                 if len(self.memory) >= MEMORY:
                     self.memory, self.older = {}, self.memory
                 self.memory[word] = known
         return known
 
-    def parts(self, text: str) -> Iterator[tuple[bytes, bytes]]:
-        """Each word of the text, and each special string as a token of its own."""
-        for piece in self.marked.split(text) if self.marked and any(s in text for s in self.special) else (text,):
-            if piece in self.special:
-                yield self.raw[piece], piece.encode()
-            elif piece:
-                yield from map(self.word, self.pattern.findall(self.normal(piece)))
+    def spelled(self, word: str) -> list[str]:
+        letters = [self.letters[b] for b in word.encode()]
+        letters[-1] += self.end
+        return letters
+
+    def split(self, text: str) -> Iterator[tuple[bool, str]]:
+        """The special strings of a text, and what is between them."""
+        if self.marked and any(s in text for s in self.special):
+            yield from ((piece in self.special, piece) for piece in self.marked.split(text) if piece)
+        elif text:
+            yield False, text
+
+    def stream(self, blocks: Iterable[str]) -> Iterator[bytes]:
+        """The ids of a text that comes in blocks, in parts as they become stable, as little-endian 32 bits."""
+        buffer, long = "", LongWord(self)
+        for block in blocks:
+            buffer += block
+            while len(buffer) >= BLOCK:
+                at = max(map(buffer.rfind, " \n\t\r"))
+                if at > 0:  # before white space nothing is composed, and no word goes on
+                    yield from long.last(buffer[:at])
+                    buffer = buffer[at:]
+                    break
+                if len(buffer) < 2 * BLOCK or not (at := self.safe(buffer)):
+                    break
+                yield from long.more(buffer[:at])
+                buffer = buffer[at:]
+        yield from long.last(buffer)
+
+    def safe(self, text: str) -> int:
+        """The last place before which characters don't compose with what follows, outside of special strings; 0 if there is none."""
+        found = [m.start() for m in STARTER.finditer(text, len(text) - BLOCK // 2, len(text) - SPARE)]
+        at = found[-1] if found else 0
+        if at and self.marked:
+            for m in self.marked.finditer(text, max(0, at - SPARE)):
+                if m.start() < at < m.end():
+                    return m.end()
+        return at
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(b"".join(p[0] for p in self.parts(text)), "<u4").tolist()
-
-    def pieces(self, ids: Iterable[int]) -> Iterator[bytes]:
-        """The bytes that the ids stand for. A file without a decoder shows the tokens themselves, a space between."""
-        gap = b""
-        for i in ids:
-            if (token := self.texts.get(int(i))) is not None:
-                yield gap + token.encode()
-                gap = b" "
+        return np.frombuffer(b"".join(self.stream([text])), "<u4").tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
-        return "".join(text_of(self.pieces(ids)))
+        machine = Decoder(self)
+        return "".join([machine.push([i]) for i in ids]) + machine.close()
+
+
+class LongWord:
+    """Words of the white-space-free run that a text's blocks may cut; a word longer than a block goes to the transducer as it comes."""
+
+    def __init__(self, coder: WordBpe) -> None:
+        self.coder, self.open, self.tail = coder, None, ""
+
+    def more(self, text: str) -> Iterator[bytes]:
+        """``text``, whose last word may go on."""
+        yield from self._take(text, False)
+
+    def last(self, text: str) -> Iterator[bytes]:
+        """``text``, whose last word ends with it."""
+        if self.tail:
+            yield from self._take(text, True)
+            return
+        get, word = self.coder.memory.get, self.coder.word
+        for special, piece in self.coder.split(text):
+            yield self.coder.raw[piece] if special else b"".join([get(w) or word(w) for w in self.coder.words(self.coder.normal(piece))])
+
+    def _take(self, text: str, ended: bool) -> Iterator[bytes]:
+        pieces = list(self.coder.split(text)) or [(False, "")]
+        for i, (special, piece) in enumerate(pieces):
+            words = self.coder.words(self.tail + ("" if special else self.coder.normal(piece)))
+            self.tail = ""
+            goes_on = words and not special and not ended and i == len(pieces) - 1
+            keep = words.pop() if goes_on else ""
+            yield from self._words(words)
+            if special:
+                yield self.coder.raw[piece]
+            if len(keep) > SPARE:  # its kind of character goes on or not, whatever comes before the last few
+                self.open = self.open or Held(self.coder.bpe, self.coder.symbols)
+                yield b"".join([self.coder.raw[t] for t in self.open.push([self.coder.letters[b] for b in keep[:-SPARE].encode()])])
+                keep = keep[-SPARE:]
+            self.tail = keep
+
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """Whole words; the first one ends the open one."""
+        if words and self.open:
+            spelled = self.coder.spelled(words.pop(0))
+            yield b"".join([self.coder.raw[t] for t in (*self.open.push(spelled), *self.open.close())])
+            self.open = None
+        yield b"".join(map(self.coder.word, words))
+
+
+class Decoder:
+    """Ids to text as they come: whole characters at once, at most one unfinished character held, U+FFFD for what is none.
+
+    A file without a decoder shows the tokens themselves, a space between.
+    """
+
+    def __init__(self, coder: WordBpe) -> None:
+        self.shown = coder.texts
+        self.machine = codecs.getincrementaldecoder("utf-8")("replace")
+        self.gap = b""
+
+    def push(self, ids: Iterable[int]) -> str:
+        shown = [t for i in ids if (t := self.shown.get(i)) is not None]
+        if not shown:
+            return ""
+        text = self.machine.decode(self.gap + " ".join(shown).encode())
+        self.gap = b" "
+        return text
+
+    def close(self) -> str:
+        return self.machine.decode(b"", True)
 
 
-def text_of(pieces: Iterable[bytes]) -> Iterator[str]:
-    """Bytes to text as they come: whole characters at once, at most one unfinished character held, U+FFFD for what is none."""
-    machine = codecs.getincrementaldecoder("utf-8")("replace")
-    for piece in pieces:
-        if text := machine.decode(piece):
-            yield text
-    if text := machine.decode(b"", True):
-        yield text
+def characters(body: bytes) -> Iterator[str]:
+    """The characters of UTF-8 bytes, block by block."""
+    machine, view = codecs.getincrementaldecoder("utf-8")(), memoryview(body)
+    for at in range(0, len(body), BLOCK):
+        yield machine.decode(view[at : at + BLOCK], at + BLOCK >= len(body))
 
 
 @lru_cache(maxsize=2)
@@ -192,20 +313,32 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     ``path`` is a tokenizer file readable on every executor. Null and empty
     texts have no tokens and decode to the empty text. Null ids and repeated
-    rows stay; other columns aren't read; an empty table gives no rows.
+    rows stay; other columns aren't read; an empty table gives no rows. Ids and
+    decoded text go into the digests as they come; only ``with_ids`` holds them.
     """
 
     def coded(texts: list[bytes]) -> list[pa.Array]:
         coder, n, ids, decoded, all_ids, all_texts = tokenizer(path), [], [], [], [], []
-        for text in texts:
-            parts = list(coder.parts(text.decode()))
-            raw, shown = b"".join([p[0] for p in parts]), "".join(text_of([b" ".join([p[1] for p in parts])])).encode()
-            n.append(len(raw) // 4)
-            ids.append(hashlib.sha256(raw).hexdigest())
-            decoded.append(hashlib.sha256(shown).hexdigest())
-            if with_ids:
-                all_ids.append(np.frombuffer(raw, "<u4").astype(np.int32).tolist())
-                all_texts.append(shown.decode())
+        for body in texts:
+            machine, size = Decoder(coder), 0
+            of_ids, of_text = hashlib.sha256(), hashlib.sha256()
+            held_ids, held_text = [], []
+            for raw in coder.stream(characters(body)):
+                part = np.frombuffer(raw, "<u4").tolist()
+                shown = machine.push(part)
+                size += len(part)
+                of_ids.update(raw)
+                of_text.update(shown.encode())
+                if with_ids:
+                    held_ids += part
+                    held_text.append(shown)
+            shown = machine.close()
+            of_text.update(shown.encode())
+            n.append(size)
+            ids.append(of_ids.hexdigest())
+            decoded.append(of_text.hexdigest())
+            all_ids.append(held_ids)
+            all_texts.append("".join(held_text) + shown)
         out = [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
         return out + ([pa.array(all_ids, pa.list_(pa.int32())), pa.array(all_texts, pa.string())] if with_ids else [])
 
