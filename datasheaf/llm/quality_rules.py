@@ -3,6 +3,7 @@
 Each rule votes good (1), bad (-1) or abstains (0). Expectation-maximisation
 estimates, without labels, how often each rule gives each vote on good and on
 bad documents; a document is judged by its posterior probability of being good.
+No rule decides alone: others can outvote it, as far as they are accurate.
 
 Everything a document needs is computed in DataFrame expressions, without a
 shuffle. EM reads the counts of the distinct vote patterns: at most 3 to the
@@ -23,8 +24,20 @@ from datasheaf.llm._common import SPACE, let, staged
 GOOD, ABSTAIN, BAD = 1, 0, -1
 VOTES = (GOOD, ABSTAIN, BAD)
 
-#: Characters that count as symbols.
+#: All but the characters that count as symbols, and the beginning of a word up to its first symbol.
 SYMBOLS = r"[^#*$%&|<>]+"
+START, END = r"(?<![^\x20\x09-\x0D])", r"(?![^\x20\x09-\x0D])"
+SYMBOL_WORD = START + r"[^\x20\x09-\x0D#*$%&|<>]*+[#*$%&|<>]"
+#: A word without letter or digit, and one that ends a clause.
+BARE_WORD, ENDED_WORD = START + r"[^\p{L}\p{N}\x20\x09-\x0D]++" + END, r"[.,;:!?]" + END
+#: Words that connected text is full of, in English, German, French and Spanish.
+FUNCTION_WORDS = (
+    "a an and are as at be by for from had has have he in is it of on or that the this to was were with you "
+    "das dem den der die ein eine für im ist mit nicht sich und von zu "
+    "dans des du elle en est et la le les ne par pas pour que qui sur un une "
+    "al como con del el es las lo los más no para por se su"
+).split()
+FUNCTION_WORD = "(?i)" + START + "(?:" + "|".join(FUNCTION_WORDS) + ")" + END
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -76,6 +89,10 @@ def figures(text: Column) -> Column:
                 F.size(F.array_distinct(w)).cast("long").alias("n_distinct"),
                 F.length(F.regexp_replace(t, "[^A-Z]+", "")).cast("long").alias("n_capitals"),
                 F.size(F.split(t, "\n")).cast("long").alias("n_lines"),
+                F.regexp_count(t, F.lit(SYMBOL_WORD)).cast("long").alias("n_symbol_words"),
+                F.regexp_count(t, F.lit(BARE_WORD)).cast("long").alias("n_bare_words"),
+                F.regexp_count(t, F.lit(FUNCTION_WORD)).cast("long").alias("n_function_words"),
+                F.regexp_count(t, F.lit(ENDED_WORD)).cast("long").alias("n_ended_words"),
             ),
         )
 
@@ -86,29 +103,36 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def _vote(bad: Column, good: Column | None = None) -> Column:
-    judged = F.when(F.col("n_words") == 0, F.lit(ABSTAIN)).when(bad, F.lit(BAD))
-    return (judged if good is None else judged.when(good, F.lit(GOOD))).otherwise(F.lit(ABSTAIN))
+def _vote(bad: Column, good: Column) -> Column:
+    return F.when(F.col("n_words") == 0, F.lit(ABSTAIN)).when(bad, F.lit(BAD)).when(good, F.lit(GOOD)).otherwise(F.lit(ABSTAIN))
+
+
+def _share(part: Column, whole: Column, bad: float, good: float) -> Column:
+    """Bad where a part is larger than ``bad`` of the whole, good where it is ``good`` at most."""
+    return _vote(part > bad * whole, part <= good * whole)
 
 
 def default_rules() -> dict[str, Column]:
-    """Rules that look for one defect abstain where they don't find it: that it is absent makes no document good."""
-    words, chars = F.col("n_words"), F.col("word_chars")
+    """Rules that overlap: junk of one kind shows in several figures, so that they can tell each other's accuracy."""
+    words, chars, ended = F.col("n_words"), F.col("word_chars"), F.col("n_ended_words")
     return {
         "length": _vote(words < MIN_WORDS / 2, words >= 2 * MIN_WORDS),
-        "word_length": _vote((chars < 2 * words) | (chars > 20 * words), (chars > 3 * words) & (chars < 12 * words)),
-        "symbols": _vote(20 * F.col("n_symbols") > chars),
-        # one rule, since what repeats lines repeats words too, and EM takes rules for independent
-        "repetition": _vote(
-            (5 * F.col("n_dup_lines") > 2 * F.col("n_lines")) | (20 * F.col("n_repeat_words") > 9 * words) | ((words >= MIN_WORDS) & (20 * F.col("n_distinct") < words))
-        ),
-        "capitals": _vote(10 * F.col("n_capitals") > 3 * chars),
+        "word_length": _vote((chars < 3 * words) | (chars > 10 * words), (chars > 4 * words) & (chars < 7 * words)),
+        "symbols": _share(F.col("n_symbols"), chars, 0.05, 0.01),
+        "symbol_words": _share(F.col("n_symbol_words"), words, 0.1, 0.02),
+        "bare_words": _share(F.col("n_bare_words"), words, 0.1, 0.02),
+        "function_words": _vote(50 * F.col("n_function_words") < words, 16 * F.col("n_function_words") >= words),
+        "ended_words": _vote((33 * ended < words) | (2 * ended > words), (16 * ended >= words) & (3 * ended <= words)),
+        "repeated_lines": _share(F.col("n_dup_lines"), F.col("n_lines"), 0.4, 0.1),
+        "repeated_words": _share(F.col("n_repeat_words"), words, 0.45, 0.1),
+        "variety": _vote((words >= MIN_WORDS) & (10 * F.col("n_distinct") < words), 4 * F.col("n_distinct") >= words),
+        "capitals": _share(F.col("n_capitals"), chars, 0.3, 0.1),
     }
 
 
 @dataclass(frozen=True)
 class VoteModel:
-    """share: prior probability of good. odds[rule][vote]: log of P(vote | good) / P(vote | bad)."""
+    """share: prior probability of good. odds[rule][vote]: log of P(vote | good, it votes) / P(vote | bad, it votes)."""
 
     share: float
     odds: Mapping[str, Mapping[int, float]] = field(default_factory=dict)
@@ -118,41 +142,45 @@ class VoteModel:
         total = F.lit(math.log(self.share / (1 - self.share)))
         for rule, by_vote in self.odds.items():
             vote = F.col(f"vote_{rule}")
-            total = total + F.when(vote == GOOD, by_vote[GOOD]).when(vote == BAD, by_vote[BAD]).otherwise(by_vote[ABSTAIN])
+            total = total + F.when(vote == GOOD, by_vote[GOOD]).when(vote == BAD, by_vote[BAD]).otherwise(0.0)
         return 1 / (1 + F.exp(-total))
 
 
-#: How far a rule's own say counts beside the posterior when its accuracy is estimated, and how sure that say is.
-TRUST, SURE = 0.75, 0.98
-
-
-def fit_votes(counts: Sequence[tuple[tuple[int, ...], int]], rules: Sequence[str], rounds: int = 50, smooth: float = 1.0, trust: float = TRUST) -> VoteModel:
+def fit_votes(counts: Sequence[tuple[tuple[int, ...], int]], rules: Sequence[str], rounds: int = 200, smooth: float = 1.0) -> VoteModel:
     """EM over (votes, number of documents) of the distinct patterns.
 
-    A document starts out bad if some rule says so. Kinds of bad documents that
-    one rule alone sees are no pattern that others confirm, so of what a rule's
-    bad votes mean, its own say keeps the share ``trust`` in the estimate; the
-    rest is the posterior's. ``smooth`` pseudo votes keep probabilities inside
-    (0, 1), so an empty corpus gives a model without odds.
+    A document starts out as good as the share of good ones among its votes.
+    Then, in turn: how often is each rule right about the documents that it
+    votes on, given how good they are; and how good are they, given how often
+    each rule is right. A rule is held to be right no less often than a coin, so
+    the two classes can't change places. Abstaining says nothing. ``smooth``
+    pseudo votes of each kind keep probabilities inside (0, 1); an empty corpus
+    gives a model without odds.
     """
-    good = [1 - SURE if BAD in votes else SURE for votes, _ in counts]
+    good = [(smooth + votes.count(GOOD)) / (2 * smooth + len(votes) - votes.count(ABSTAIN)) for votes, _ in counts]
     share, odds = 0.5, {r: dict.fromkeys(VOTES, 0.0) for r in rules}
     for _ in range(rounds):
         all_good = smooth + sum(n * p for (_, n), p in zip(counts, good, strict=True))
         all_bad = smooth + sum(n * (1 - p) for (_, n), p in zip(counts, good, strict=True))
         share = all_good / (all_good + all_bad)
         for j, rule in enumerate(rules):
-            of: dict[bool, dict[int, float]] = {True: {}, False: {}}
-            for vote in VOTES:
-                voted = [(n, p) for (votes, n), p in zip(counts, good, strict=True) if votes[j] == vote]
-                of_good = sum(n * (trust * (1 - SURE) + (1 - trust) * p if vote == BAD else p) for n, p in voted)
-                of[True][vote], of[False][vote] = of_good + smooth * share, sum(n for n, _ in voted) - of_good + smooth * (1 - share)
-            totals = {k: sum(v.values()) for k, v in of.items()}
-            odds[rule] = {v: math.log(of[True][v] / totals[True]) - math.log(of[False][v] / totals[False]) for v in VOTES}
-        good = []
+            seen = {(c, v): smooth for c in (GOOD, BAD) for v in (GOOD, BAD)}
+            for (votes, n), p in zip(counts, good, strict=True):
+                if votes[j] != ABSTAIN:
+                    seen[GOOD, votes[j]] += n * p
+                    seen[BAD, votes[j]] += n * (1 - p)
+            right = {c: seen[c, c] / (seen[c, GOOD] + seen[c, BAD]) for c in (GOOD, BAD)}
+            odds[rule] = {
+                GOOD: max(0.0, math.log(right[GOOD]) - math.log(1 - right[BAD])),
+                ABSTAIN: 0.0,
+                BAD: min(0.0, math.log(1 - right[GOOD]) - math.log(right[BAD])),
+            }
+        before, good = good, []
         for votes, _ in counts:
             total = math.log(share / (1 - share)) + sum(odds[r][v] for r, v in zip(rules, votes, strict=True))
             good.append(1 / (1 + math.exp(-max(-500.0, min(500.0, total)))))
+        if all(abs(a - b) < 1e-9 for a, b in zip(before, good, strict=True)):
+            break
     return VoteModel(share, odds)
 
 
