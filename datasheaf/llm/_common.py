@@ -18,10 +18,12 @@ _OWN_FOLDER: list[str] = []
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset (local tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Only a session on this machine alone may leave it unset, and gets a temporary one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not _OWN_FOLDER:
         _OWN_FOLDER.append("file://" + tempfile.mkdtemp(prefix="datasheaf-"))
     return _OWN_FOLDER[0]

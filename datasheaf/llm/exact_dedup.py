@@ -119,17 +119,21 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that exact_groups keeps, with all their columns.
+    """The rows of ``docs`` that exact_groups keeps, with all their columns, whatever their names.
 
-    Documents to drop are fewer than those to keep, so they are what is joined;
-    texts cross the network only if even those are too many to broadcast.
+    Null texts are empty texts; a null id comes after all others; of repeated
+    rows one stays; no rows give no rows. Documents to drop are fewer than those
+    to keep, so they are what is joined; texts cross the network only if even
+    those are too many to broadcast.
     """
-    found = staged(exact_groups(docs, id_col, text_col).select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha"), "kept"), "verdicts")
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    own_id, text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
+    found = staged(exact_groups(docs, id_col, text_col).select(F.col("doc_id").alias("id"), F.unhex("text_sha256").alias("sha"), "kept"), "verdicts")
     kept, dropped = found.filter("kept").drop("kept"), found.filter("not kept").drop("kept").distinct()
-    again = dropped.join(kept, dropped["__id"].eqNullSafe(kept["__id"]) & (dropped["__sha"] == kept["__sha"]), "left_semi")
+    again = dropped.join(kept, dropped["id"].eqNullSafe(kept["id"]) & (dropped["sha"] == kept["sha"]), "left_semi")
     # rows that repeat one that stays
-    repeated = staged(again.select(F.col("__id").alias("__rid"), F.col("__sha").alias("__rsha")), "repeated")
-    gone = dropped.join(repeated, dropped["__id"].eqNullSafe(repeated["__rid"]) & (dropped["__sha"] == repeated["__rsha"]), "left_anti")
-    out = docs.withColumn("__mine", F.unhex(F.sha2(normalised(F.col(text_col)), 256)))
-    out = out.join(gone, out[id_col].eqNullSafe(gone["__id"]) & (out["__mine"] == gone["__sha"]), "left_anti")
-    return (out.dropDuplicates([id_col, "__mine"]) if repeated.take(1) else out).drop("__mine")
+    repeated = staged(again.select(F.col("id").alias("other"), F.col("sha").alias("other_sha")), "repeated")
+    gone = dropped.join(repeated, dropped["id"].eqNullSafe(repeated["other"]) & (dropped["sha"] == repeated["other_sha"]), "left_anti")
+    out = numbered.withColumn("own", F.unhex(F.sha2(normalised(F.col(text)), 256)))
+    out = out.join(gone, out[own_id].eqNullSafe(gone["id"]) & (out["own"] == gone["sha"]), "left_anti")
+    return (out.dropDuplicates([own_id, "own"]) if repeated.take(1) else out).drop("own").toDF(*docs.columns)

@@ -1,12 +1,12 @@
 """Toxicity by cumulative-link ordinal regression.
 
-Severity has grades 0 to 3. One weight vector over sparse text features serves
-all grades; ordered thresholds cut its scale: P(grade >= k) = s(w.x - b_k) with
-b_1 < b_2 < b_3. The result is the expected grade.
+One weight vector over sparse text features serves all grades; ordered
+thresholds cut its scale: P(grade >= k) = s(w.x - b_k) with b_1 < b_2. The
+result is the expected grade.
 
-The labels say only whether a document is toxic. Of toxic documents, the grade
-is how many of its words carry a feature that is typical of toxic documents:
-1 up to 2 words, 2 up to 5, 3 beyond.
+Grades come from the labels alone, never from the text: 0 is harmless, 1 toxic,
+2 toxic and of poor quality besides. Where a toxic document's quality isn't
+labelled, its grade is 1 or 2, and the likelihood is that of the interval.
 
 Fitting takes a bounded sample of labelled documents (``SAMPLE`` of each
 class, those with the smallest hash of their id); scoring reads all documents
@@ -30,16 +30,15 @@ from datasheaf.llm._common import per_row, staged
 
 #: Labelled documents of each class that the fit may read.
 SAMPLE = 3000
-#: Features kept, by how strongly they speak for toxic documents.
+#: Features kept, by how strongly they speak for or against.
 FEATURES = 4096
 PREFIXES = (4, 5, 6)
-GRADES = 3
-#: Words with typical features up to which a toxic document has grade 1 and 2.
-GRADE_ENDS = (2, 5)
-#: A feature is typical if toxic documents have it this much more often (log of the ratio), in so many sampled ones at least.
-TYPICAL, AT_LEAST = 2.0, 3
+#: Grades beyond 0, and so thresholds.
+GRADES = 2
+#: A feature is typical of a class if its documents have it this much more often (log of the ratio), by so many standard errors.
+TYPICAL, ERRORS = 1.0, 2.0
 #: Expected severity from which a document is toxic.
-THRESHOLD = 0.3
+THRESHOLD = 0.2
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -58,30 +57,32 @@ class SeverityModel:
     weights: np.ndarray
     thresholds: np.ndarray
 
-    def vector(self, words: Counter[str]) -> tuple[list[int], list[float], int]:
-        """Indices and values of the features, and how many words have one."""
+    def vector(self, words: Counter[str]) -> tuple[list[int], list[float]]:
+        """Indices and values of the features."""
         counts: Counter[int] = Counter()
-        n, get = 0, self.index.get
+        get = self.index.get
         for w, c in words.items():
-            found = [i for f in (w, w[:4] + "-", w[:5] + "-", w[:6] + "-") if (i := get(f)) is not None] if len(w) > 6 else [i for f in features_of(w) if (i := get(f)) is not None]
-            if found:
-                n += c
-                for i in found:
+            for f in (w, w[:4] + "-", w[:5] + "-", w[:6] + "-") if len(w) > 6 else features_of(w):
+                if (i := get(f)) is not None:
                     counts[i] += c
-        return list(counts), np.log1p(list(counts.values())).tolist(), n
+        return list(counts), np.log1p(list(counts.values())).tolist()
 
     def at_least(self, scale: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k = 1.. of each value of the scale."""
         return 1 / (1 + np.exp(-np.clip(scale[:, None] - self.thresholds[None, :], -500, 500)))
 
 
-def fit_ordinal(rows: list[tuple[list[int], list[float]]], grades: np.ndarray, weight: np.ndarray, n_features: int, rounds: int = 400, penalty: float = 1e-4, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
-    """Maximum likelihood of the cumulative link with a quadratic penalty, by Adam over all rows."""
+def fit_ordinal(rows: list[tuple[list[int], list[float]]], low: np.ndarray, high: np.ndarray, weight: np.ndarray, n_features: int, n_grades: int = GRADES, rounds: int = 400, penalty: float = 1e-4, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+    """Maximum likelihood of the cumulative link with a quadratic penalty, by Adam over all rows.
+
+    A row's grade is known to be from ``low`` to ``high``; the result is the
+    weights and the rising thresholds.
+    """
     at = np.repeat(np.arange(len(rows)), [len(i) for i, _ in rows])
     col = np.array([x for i, _ in rows for x in i], np.int64)
     val = np.array([x for _, v in rows for x in v], float)
     # thresholds are a first one and positive steps, so they stay ordered
-    p = np.zeros(n_features + GRADES)
+    p = np.zeros(n_features + n_grades)
     p[n_features] = 2.0
     m, v = np.zeros_like(p), np.zeros_like(p)
     n = max(weight.sum(), 1e-9)
@@ -92,14 +93,14 @@ def fit_ordinal(rows: list[tuple[list[int], list[float]]], grades: np.ndarray, w
         edge = np.concatenate((np.ones((len(rows), 1)), s, np.zeros((len(rows), 1))), axis=1)
         slope = edge * (1 - edge)
         i = np.arange(len(rows))
-        chance = np.maximum(edge[i, grades] - edge[i, grades + 1], 1e-12)
-        up, down = weight * slope[i, grades] / chance / n, weight * slope[i, grades + 1] / chance / n
+        chance = np.maximum(edge[i, low] - edge[i, high + 1], 1e-12)
+        up, down = weight * slope[i, low] / chance / n, weight * slope[i, high + 1] / chance / n
         d_scale = up - down
         g = np.zeros_like(p)
         g[:n_features] = -np.bincount(col, d_scale[at] * val, n_features) + penalty * w
-        d_b = np.zeros(GRADES + 2)
-        np.add.at(d_b, grades, up)
-        np.add.at(d_b, grades + 1, -down)
+        d_b = np.zeros(n_grades + 2)
+        np.add.at(d_b, low, up)
+        np.add.at(d_b, high + 1, -down)
         tail = np.cumsum(d_b[1:-1][::-1])[::-1]
         g[n_features] = tail[0]
         g[n_features + 1 :] = tail[1:] * np.exp(p[n_features + 1 :])
@@ -109,19 +110,24 @@ def fit_ordinal(rows: list[tuple[list[int], list[float]]], grades: np.ndarray, w
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[int, int]]:
-    """(toxic, text) of the sampled documents, and the labelled documents of each class. Several labels of a document: the worst counts."""
-    known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
+    """(toxic, poor, text) of the sampled documents, and the labelled documents of each class.
+
+    Several labels of a document: the worst counts. ``poor`` is null where
+    ``labels`` has no quality for the document, or no such column.
+    """
+    quality = F.col("quality") if "quality" in labels.columns else F.lit(None).cast("int")
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic"), F.max((quality == 0).cast("int")).alias("poor"))
     ids = docs.select(F.col(id_col).alias("doc_id")).distinct()
     known = staged(known.join(ids, "doc_id", "left_semi"), "labels")
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = [known.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
     few = F.broadcast(chosen[0].unionByName(chosen[1]))  # 2 * sample rows
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(few, "doc_id")
-    return staged(texts.select("toxic", "text"), "sample"), sizes
+    return staged(texts.select("toxic", "poor", "text"), "sample"), sizes
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> SeverityModel:
-    """Fit on a sample of ``labels`` (doc_id, toxic). Without toxic labels no feature has weight and every severity is near 0."""
+    """Fit on a sample of ``labels`` (doc_id, toxic, quality). Without toxic labels no feature has weight and every severity is near 0."""
     texts, sizes = sample_labelled(docs, labels, sample, id_col, text_col)
 
     def in_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,45 +140,48 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
 
     taken = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_clean, n_toxic = taken.get(0, 0), taken.get(1, 0)
-    counts = texts.mapInArrow(in_documents, "feature string, clean bigint, toxic bigint").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = texts.select("toxic", "text").mapInArrow(in_documents, "feature string, clean bigint, toxic bigint").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     log_ratio = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
-    typical = counts.withColumn("ratio", log_ratio).filter((F.col("ratio") >= TYPICAL) & (F.col("toxic") >= AT_LEAST)).orderBy((F.col("ratio") * F.sqrt("toxic")).desc(), "feature").limit(FEATURES)
-    model = SeverityModel({r["feature"]: i for i, r in enumerate(typical.collect())}, np.zeros(0), np.full(GRADES, 10.0))
+    errors = F.abs("ratio") / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    typical = counts.withColumn("ratio", log_ratio).withColumn("errors", errors).filter((F.abs("ratio") >= TYPICAL) & (F.col("errors") >= ERRORS)).orderBy(F.desc("errors"), "feature").limit(FEATURES)
+    model = SeverityModel({}, np.zeros(0), np.full(GRADES, 10.0))
+    if n_toxic:
+        model.index = {r["feature"]: i for i, r in enumerate(typical.collect())}
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.vector(words_of((x or "").encode())) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64())), pa.array([f[2] for f in found], pa.int64())], names=["toxic", "at", "value", "words"])
+            found = [model.vector(words_of((x or "").encode())) for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64()))], names=["toxic", "poor", "at", "value"])
 
-    rows = sorted(texts.mapInArrow(vectors, "toxic int, at array<bigint>, value array<double>, words bigint").collect())
-    if not rows or not model.index:
-        model.weights = np.zeros(len(model.index))
+    model.weights = np.zeros(len(model.index))
+    rows = texts.mapInArrow(vectors, "toxic int, poor int, at array<bigint>, value array<double>").collect() if model.index else []
+    if not rows:
         return model
+    rows.sort(key=lambda r: (r["toxic"], r["poor"] is None, r["poor"] or 0, r["at"], r["value"]))
     toxic = np.array([r["toxic"] for r in rows])
-    words = np.array([r["words"] for r in rows])
-    grades = np.where(toxic == 0, 0, 1 + (words > GRADE_ENDS[0]) + (words > GRADE_ENDS[1]))
+    low = toxic + np.array([r["toxic"] * (r["poor"] or 0) for r in rows])
+    high = np.array([r["toxic"] * (GRADES if r["poor"] is None else 1 + r["poor"]) for r in rows])
     # the sample takes more of the rarer class; weights restore the shares among the labelled
     weight = np.where(toxic == 0, sizes.get(0, 0) / max(n_clean, 1), sizes.get(1, 0) / max(n_toxic, 1))
-    weight = weight / weight.mean()
-    model.weights, model.thresholds = fit_ordinal([(list(r["at"]), list(r["value"])) for r in rows], grades, weight, len(model.index))
+    model.weights, model.thresholds = fit_ordinal([(list(r["at"]), list(r["value"])) for r in rows], low, high, weight / weight.mean(), len(model.index))
     return model
 
 
 def score(docs: DataFrame, model: SeverityModel, keep: list, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``keep`` columns, then p_mild, p_moderate, p_severe (grade 1, 2, 3 or above), severity, toxic."""
+    """``keep`` columns, then p_toxic, p_severe (grade 1 or above, grade 2), severity, toxic."""
 
     def severities(texts: list[bytes]) -> list[pa.Array]:
         found = [model.vector(words_of(t)) for t in texts]
-        scale = np.array([sum(model.weights[i] * v for i, v in zip(at, values, strict=True)) for at, values, _ in found], float)
+        scale = np.array([sum(model.weights[i] * v for i, v in zip(at, values, strict=True)) for at, values in found], float)
         p = model.at_least(scale)
         total = p.sum(axis=1)
         return [*(pa.array(p[:, k]) for k in range(GRADES)), pa.array(total), pa.array(total >= threshold)]
 
-    return per_row(docs, keep, F.col(text_col), severities, "p_mild double, p_moderate double, p_severe double, severity double, toxic boolean")
+    return per_row(docs, keep, F.col(text_col), severities, "p_toxic double, p_severe double, severity double, toxic boolean")
 
 
 def judge_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, p_mild, p_moderate, p_severe, severity, toxic.
+    """One row for each row of ``docs``: doc_id, p_toxic, p_severe, severity, toxic.
 
     Null and empty texts have no features and the severity of none. Null ids
     are scored but not used to fit; repeated rows stay; other columns aren't
@@ -182,7 +191,12 @@ def judge_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that aren't toxic, with all their columns. Column names may clash with the results'."""
+    """The rows of ``docs`` that judge_toxicity doesn't call toxic, with all their columns.
+
+    Column names may clash with the results'. Null and empty texts have no
+    features and stay, as do all rows without toxic labels to learn from;
+    repeated rows are judged alike; no rows give no rows.
+    """
     names = docs.columns
     numbered = docs.toDF(*[f"c{i}" for i in range(len(names))])
     model = fit(docs, labels, id_col=id_col, text_col=text_col)
