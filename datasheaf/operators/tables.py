@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,19 +30,28 @@ def cells(items: DataFrame) -> DataFrame:
 
 
 def places(cells: list[dict]) -> tuple[int, int, int, dict[tuple[int, int], int]]:
-    """Width, height, header rows, and the cell at each place: each takes the next free place of its row, spans end at the edge (TAB-01). Where spans overlap, the later cell has the place."""
-    width = sum(c["xspan"] for c in cells if c["row"] == 0)
-    height = max(c["row"] + c["yspan"] for c in cells)
-    header_rows = next((c["row"] + 1 for c in reversed(cells) if c["is_header"]), 0)
-    at: dict[tuple[int, int], int] = {}
-    x = 0
-    for i, c in enumerate(cells):
-        y = c["row"]
-        x = next((k for k in range(width) if (k, y) not in at), x)
-        for gy in range(y, min(y + c["yspan"], height)):
-            at.update({(gx, gy): i for gx in range(x, min(x + c["xspan"], width))})
-        x += c["xspan"]
-    return width, height, header_rows, at
+    """Width, height, header rows, and the cell at each place (TAB-01).
+
+    The first row's spans make the width, the lowest end of a cell the height,
+    and all rows down to the last header cell are header rows. A cell goes to
+    the first column that no cell covers any longer, or on where the one before
+    ended if there is none; spans end at the edge, and a later cell lies on top.
+    """
+    first = [c["xspan"] for c in cells if c["row"] == 0]
+    ends = [c["row"] + c["yspan"] for c in cells]
+    headers = [c["row"] for c in cells if c["is_header"]]
+    covered = np.zeros(sum(first), np.int64)  # by column, the row at which it is free again
+    owner = np.full((max(ends), len(covered)), -1)
+    after = 0
+    for number, (cell, end) in enumerate(zip(cells, ends, strict=True)):
+        free = np.flatnonzero(covered <= cell["row"])
+        left = int(free[0]) if len(free) else after
+        after = left + cell["xspan"]
+        covered[left:after] = np.maximum(covered[left:after], end)
+        owner[cell["row"] : end, left:after] = number
+    ys, xs = np.nonzero(owner >= 0)
+    at = dict(zip(zip(xs.tolist(), ys.tolist(), strict=True), owner[ys, xs].tolist(), strict=True))
+    return len(covered), len(owner), headers[-1] + 1 if headers else 0, at
 
 
 def grid(items: DataFrame) -> DataFrame:

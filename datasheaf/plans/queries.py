@@ -80,7 +80,10 @@ def html_items(spark, sf_dir):
     return html.items(pages)
 
 
-@query()
+@query("""WITH r AS (SELECT o_custkey, o_orderkey, o_orderpriority, o_orderstatus, CAST(1 + row_number() OVER (PARTITION BY o_custkey
+        ORDER BY '<tr><td>' || o_orderkey || '</td><td>' || o_orderpriority || '</td><td>' || o_orderstatus || '</td></tr>') AS INTEGER) AS gy FROM orders WHERE o_custkey IS NOT NULL)
+    SELECT o_custkey || '#orders#0' AS table_id, gy, 'Order:Key' AS domain, CAST(o_orderkey AS VARCHAR) AS texts FROM r
+    UNION ALL SELECT o_custkey || '#orders#0', gy, 'State:Priority', o_orderpriority FROM r UNION ALL SELECT o_custkey || '#orders#0', gy, 'State:Status', o_orderstatus FROM r""")
 def html_table_grid(spark, sf_dir):
     """Orders of a customer as an HTML table, scanned, placed on its grid and read back by column."""
     orders = _t(spark, sf_dir, "orders").filter("o_custkey is not null")
@@ -91,7 +94,7 @@ def html_table_grid(spark, sf_dir):
     docs = lines.select(F.col("o_custkey").cast("string").alias("doc"), F.lit("orders").alias("chapter"), page.alias("html"))
     # few bytes, much scanning: spread them over the cores before AQE packs them into one task
     grid = tables.grid(html.items(docs.repartition(spark.sparkContext.defaultParallelism)))
-    return tables.cell_rows(grid, tables.domains_x(grid)).select("table_id", "gy", "domain", "texts")
+    return tables.cell_rows(grid, tables.domains_x(grid)).select("table_id", "gy", "domain", F.array_join("texts", "|").alias("texts"))
 
 
 @query("SELECT event_id, CAST(props->>'$.k' AS VARCHAR) AS k FROM events")
@@ -326,6 +329,125 @@ def pivot_status(spark, sf_dir):
     return _t(spark, sf_dir, "orders").groupBy().pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count(F.lit(1)))
 
 
+def _matrix(spark, sf_dir):
+    """Suppliers by nation as a table with a row header that spans a nation's rows, scanned and placed on its grid."""
+    both = _t(spark, sf_dir, "supplier").join(_t(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    few = both.groupBy("n_nationkey", "n_name").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("s"))
+    first = F.concat(F.lit("<tr><th rowspan='"), F.size("s").cast("string"), F.lit("'>"), "n_name", F.lit("</th>"))
+    body = F.transform("s", lambda x: F.concat(F.lit("<td>"), x["s_suppkey"].cast("string"), F.lit("</td><td>"), x["s_name"], F.lit("</td></tr>")))
+    page = F.concat(F.lit("<table>"), first, F.array_join(body, "<tr>"), F.lit("</table>"))
+    return tables.grid(html.items(few.select(F.col("n_nationkey").cast("string").alias("doc"), F.lit("n").alias("chapter"), page.alias("html"))))
+
+
+@query("""WITH s AS (SELECT n_nationkey, n_name, s_suppkey, s_name, CAST(row_number() OVER (PARTITION BY n_nationkey ORDER BY s_suppkey) - 1 AS INTEGER) AS gy,
+        CAST(count(*) OVER (PARTITION BY n_nationkey) AS INTEGER) AS height FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+    SELECT n_nationkey || '#n#0' AS table_id, 0 AS gx, gy, 3 AS width, height, n_name AS text FROM s
+    UNION ALL SELECT n_nationkey || '#n#0', 1, gy, 3, height, CAST(s_suppkey AS VARCHAR) FROM s UNION ALL SELECT n_nationkey || '#n#0', 2, gy, 3, height, s_name FROM s""")
+def grid_of_spans(spark, sf_dir):
+    return _matrix(spark, sf_dir).select("table_id", "gx", "gy", "width", "height", F.col("html").alias("text"))
+
+
+@query("""SELECT n_nationkey || '#n#0' AS table_id, s_name AS text FROM (SELECT *, row_number() OVER (PARTITION BY n_nationkey ORDER BY s_suppkey) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey) WHERE n = 1""")
+def cell_point_lookup(spark, sf_dir):
+    return tables.cell_at(_matrix(spark, sf_dir), 2, 0).select("table_id", F.col("html").alias("text"))
+
+
+@query("SELECT l_orderkey, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS flags FROM lineitem GROUP BY l_orderkey")
+def value_sets(spark, sf_dir):
+    return aggregates.sets_by(_t(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_returnflag", "flags").select("l_orderkey", F.array_join("flags", ",").alias("flags"))
+
+
+@query("SELECT conv_id, string_agg(role, '>' ORDER BY turn, role) AS roles FROM conversations GROUP BY conv_id")
+def ordered_lists(spark, sf_dir):
+    rows = _t(spark, sf_dir, "conversations")
+    return aggregates.lists_by(rows, ["conv_id"], "turn", F.col("role"), "roles").select("conv_id", F.array_join("roles", ">").alias("roles"))
+
+
+@query("SELECT conv_id, string_agg(left(role, 1), '' ORDER BY turn, left(role, 1)) AS text FROM conversations GROUP BY conv_id")
+def line_content(spark, sf_dir):
+    glyphs = _t(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("x0"), F.left("role", F.lit(1)).alias("ch"))
+    return aggregates.content(glyphs, ["conv_id"])
+
+
+@query("""SELECT o_custkey, o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS n FROM orders) WHERE n = 1""")
+def last_row_wins(spark, sf_dir):
+    return aggregates.last_wins(_t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], F.col("o_orderkey"))
+
+
+@query("SELECT n_regionkey, string_agg(n_nationkey || '=' || n_name, ',' ORDER BY n_nationkey) AS codes FROM nation GROUP BY n_regionkey")
+def section_codes(spark, sf_dir):
+    codes = aggregates.codes_by_section(_t(spark, sf_dir, "nation"), "n_regionkey", "n_nationkey", "n_name")
+    pairs = F.transform(F.array_sort(F.map_entries("codes")), lambda e: F.concat_ws("=", e["key"].cast("string"), e["value"]))
+    return codes.select("n_regionkey", F.array_join(pairs, ",").alias("codes"))
+
+
+@query("SELECT 'MEM' || n_nationkey AS memory, CAST(n_nationkey * 16 AS BIGINT) AS bytes FROM nation")
+def define_sizes(spark, sf_dir):
+    size = F.concat(F.lit("(0x"), F.hex(F.col("n_nationkey") * 16), F.lit("UL)"))
+    defines = _t(spark, sf_dir, "nation").select(F.concat(F.lit("MEM"), F.col("n_nationkey").cast("string"), F.lit("_SIZE")).alias("name"), size.alias("expr"))
+    return aggregates.memory_sizes(defines.unionByName(defines.withColumn("name", F.lit("OTHER"))))
+
+
+@query("SELECT n_nationkey, n_name AS name FROM nation UNION SELECT n_nationkey, 'HAS_' || n_regionkey FROM nation")
+def tested_names(spark, sf_dir):
+    test = F.concat(F.lit("#if defined("), "n_name", F.lit(") || defined HAS_"), F.col("n_regionkey").cast("string"), F.lit(" && defined ("), "n_name", F.lit(")"))
+    return aggregates.defined_names(_t(spark, sf_dir, "nation").select("n_nationkey", test.alias("text")), "text", "n_nationkey")
+
+
+@query("""SELECT l_orderkey, l_linenumber, CAST(count(DISTINCT l_partkey) AS BIGINT) AS pins FROM lineitem GROUP BY l_orderkey, l_linenumber
+    HAVING count(DISTINCT l_partkey) > 1 AND bool_or(l_returnflag = 'R')""")
+def double_positions(spark, sf_dir):
+    rows = _t(spark, sf_dir, "lineitem").withColumn("variant", F.when(F.col("l_returnflag") == "R", "x PINREMAP"))
+    return aggregates.double_pinout(rows, ["l_orderkey"], "l_linenumber", "l_partkey", "variant")
+
+
+@query("""SELECT o_custkey, o_orderkey, o_orderpriority FROM (SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS r,
+    count(*) OVER (PARTITION BY o_custkey, o_orderpriority) AS n FROM orders) WHERE r = 1 AND n = 1""")
+def unambiguous_best(spark, sf_dir):
+    return joins.unambiguous(_t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority"), ["o_custkey"], F.col("o_orderpriority"))
+
+
+@query("SELECT n_nationkey, coalesce(n, 0) AS n FROM nation LEFT JOIN (SELECT s_nationkey AS n_nationkey, count(*) AS n FROM supplier GROUP BY s_nationkey) USING (n_nationkey)")
+def join_with_default(spark, sf_dir):
+    n = _t(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.count("*").alias("n"))
+    return joins.left_with_default(_t(spark, sf_dir, "nation").select("n_nationkey"), n, ["n_nationkey"], {"n": 0})
+
+
+@query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+def resolved_references(spark, sf_dir):
+    nations = _t(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
+    return joins.resolve(nations, _t(spark, sf_dir, "region"), ["r_regionkey"]).select("n_name", "r_name")
+
+
+@query("""SELECT p_partkey, min(d.p_type) AS define FROM (SELECT p_partkey, p_brand, upper(p_name) AS key FROM part) n
+    JOIN (SELECT DISTINCT p_brand, p_type FROM part) d ON n.p_brand = d.p_brand AND d.p_type >= key GROUP BY p_partkey""")
+def nearest_define(spark, sf_dir):
+    part = _t(spark, sf_dir, "part")
+    names, defines = part.select("p_partkey", "p_brand", F.upper("p_name").alias("key")), part.select("p_brand", "p_type").distinct()
+    return joins.nearest_define(names, defines, "p_brand", F.col("key"), F.col("p_type"), ["p_partkey"]).select("p_partkey", "define")
+
+
+@query("SELECT n.n_nationkey AS k, m.n_name AS name FROM nation n JOIN nation m ON m.n_nationkey = n.n_nationkey - n.n_nationkey % 3")
+def alias_rules(spark, sf_dir):
+    k = F.col("n_nationkey")
+    rules = _t(spark, sf_dir, "nation").select(k.alias("k"), F.when(k % 3 != 0, k - k % 3).alias("of"), F.col("n_name").alias("name"))
+    return joins.alias_lookup(rules.select("k"), rules, "k", "of").select("k", "name")
+
+
+@query("SELECT p_partkey, p_size + CASE WHEN regexp_matches(p_name, '^small') THEN 1000 WHEN regexp_matches(p_name, 'bolt$') THEN 2000 ELSE 0 END AS address FROM part")
+def offsets_by_pattern(spark, sf_dir):
+    offsets = spark.createDataFrame([(0, "^small", 1000), (1, "bolt$", 2000)], "ord int, pattern string, offset int")
+    parts = _t(spark, sf_dir, "part").select("p_partkey", "p_name", F.col("p_size").alias("address"))
+    return joins.offset_lookup(parts, offsets, "p_name", "pattern", ["p_partkey"]).select("p_partkey", "address")
+
+
+@query("SELECT r_name || '/' || n_name AS path, r_name AS root FROM region JOIN nation ON n_regionkey = r_regionkey")
+def children_by_path(spark, sf_dir):
+    regions = _t(spark, sf_dir, "region")
+    paths = regions.join(_t(spark, sf_dir, "nation"), F.col("r_regionkey") == F.col("n_regionkey")).select(F.concat("r_name", F.lit("/"), "n_name").alias("path"))
+    return joins.children_of(paths.unionByName(regions.select(F.col("r_name").alias("path"))), "path", regions.select(F.col("r_name").alias("root")), "root").select("path", F.rtrim(F.col("root"), F.lit("/")).alias("root"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classify parts by first-match rules, coalesce the lines of each class into fields, and group orders of equal structure."""
     parts = devices_first_match(spark, sf_dir).withColumnRenamed("p_partkey", "l_partkey")
