@@ -26,6 +26,42 @@ def test_run_equals_stages(spark, data):
     assert packed.columns[:2] == ["doc_id", "start"] and packed.count() > 0
 
 
+def long_text(seed):
+    import random
+
+    rng = random.Random(seed)
+    return " ".join(rng.choice("the of and a to in that is was for it with as his on be at by".split() if rng.random() < 0.4 else ["".join(rng.choice("abcdefgh") for _ in range(5))]) + ("." if i % 12 == 11 else "") for i in range(200))
+
+
+@pytest.fixture
+def folder(spark, edges, tmp_path):
+    """Edge rows, with good texts among them: a null id, copies, near copies, repeated rows, clashing column names."""
+    good = [long_text(i) for i in range(4)]
+    rows = [(20, good[0]), (21, good[0]), (22, good[0].replace("the", "tho", 1)), (23, good[1]), (23, good[1]), (None, good[2]), (24, good[2] + "  "), (25, good[3])]
+    more = spark.createDataFrame([(i, x, "x", 7, True, "y", 1.0, "z") for i, x in rows], edges.schema)
+    edges.unionByName(more).write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame([(20, 1, 0), (1, 0, 1), (None, 1, 1)], "doc_id bigint, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    return f"file://{tmp_path}"
+
+
+def test_edge_rows_through_all_stages(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder).cache()
+        assert docs.columns == columns
+    assert sorted(str(r.doc_id) for r in docs.collect() if r.doc_id != 7) == ["20", "23", "24", "25"]
+    packed = corpus_pipeline.run(spark, folder)
+    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_no_rows_through_all_stages(spark, folder, tmp_path):
+    empty = f"file://{tmp_path}/empty"
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{empty}/{name}.parquet")
+    assert corpus_pipeline.run(spark, empty).count() == 0
+
+
 @pytest.mark.parametrize("name", list(queries.SQL))
 def test_sql(spark, data, name):
     con = duckdb.connect()
