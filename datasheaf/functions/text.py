@@ -141,20 +141,174 @@ def quantity(text: Column | str) -> Column:
     return F.when(unit != "", F.round(F.regexp_extract(_re(text), pattern, 1).try_cast("double") * F.try_element_at(scale, unit)).cast("bigint"))
 
 
-# ---- normaliser rule tables (fixed values: the shape of vendor tables) --------
-
-VECTOR_RULES: tuple[Rule, ...] = ((r"\s+", "_"), (r"_+and_+|_*/_*|,_*", ","), (r"[^A-Za-z0-9_,]", ""), (r"_+", "_"), (r"^_|_$|(?<=,)_|_(?=,)", ""))  # TXT-05
-OFFSET_RULES: tuple[Rule, ...] = ((r"\s+", ""), (r"(?i)^0x0x", "0x"), (r"(?i)offset:?", ""), (r"[–—]", "-"), (r"(?i)reset.*$", ""))  # TXT-06
-REGISTER_RULES: tuple[Rule, ...] = ((r"\(.*?\)", ""), (r"(?i)\bres(?:erved)?\b\.?", ""), (r"\s+", ""), (r"[^A-Za-z0-9_]", ""))
-FIELD_RULES: tuple[Rule, ...] = ((r"(?i)^res(?:erved)?\.?$", ""), (r"\[.*?\]|\(.*?\)", ""), (r"\s+", ""), (r"[^A-Za-z0-9_]", ""))
-PERIPHERAL_RULES: tuple[Rule, ...] = ((r"\(.*?\)", ""), (r"(?i)reserved.*", ""), (r"\s*/\s*|\s+and\s+|\s*&\s*", ","), (r"\s+", "_"))  # TXT-07
-PIN_RULES: tuple[Rule, ...] = ((r"\(.*?\)", ""), (r"\s+", ""), (r"[-–—]+$", ""), (r"^_+|_+$", ""))  # TXT-08
-PACKAGE_RULES: tuple[Rule, ...] = ((r"\+.*$", ""), (r"(?i)\s*\(.*?\)", ""), (r"[\s-]+", ""))  # TXT-09
-
-
-def packages(text: Column | str) -> Column:
-    """Package names of a cell, one a part (TXT-09)."""
-    return F.transform(listify(text, r"/|,|<br>| or "), lambda p: F.upper(fold(p, PACKAGE_RULES)))
+# ---- normaliser rule tables: fixed values, in the vendor's notation ----------
+
+VECTOR_TAGS = {"p": "$1,"}  # TXT-05
+VECTOR_RULES: tuple[Rule, ...] = (
+    (r" +", ""),
+    (r"\(.*?\)|_IRQn|_$|^-$|[Rr]eserved", ""),
+    (r"\+|and", ","),
+    (r"_(\w+)(LSE|BLE|I2C\d)_", "_$1,$2_"),
+    (r"EXTI\[(\d+):(\d+)\]", "EXTI$1_$2"),
+    (r"\[(\d+):(\d+)\]", "$2_$1"),
+)
+OFFSET_RULES: tuple[Rule, ...] = ((r" +", ""), ("0x000x00", "0x00"), ("to", "-"), ("×", "*"), (r"\(\d+\)", ""))  # TXT-06
+REGISTER_RULES: tuple[Rule, ...] = (
+    (r" +|\.+", ""),
+    (r"\(COM(\d)\)", "_COM$1"),
+    (r"^[Rr]es$||0x[\da-fA-FXx]+|\(.*?\)|-", ""),
+    (r"(?i)reserved|resetvalue.*", ""),
+    ("enabled", "_EN"),
+    ("disabled", "_DIS"),
+    (r"(?i)Outputcomparemode", "_Output"),
+    (r"(?i)Inputcapturemode", "_Input"),
+    ("mode", ""),
+    (r"^TG_FS_", "OTG_FS_"),
+    ("toRTC", "RTC"),
+    ("SPI2S_", "SPI_"),
+    (r"andTIM\d+_.*", ""),
+    (r"x=[\d,]+", ""),
+)
+FIELD_RULES: tuple[Rule, ...] = (
+    (r"\] +\d+(th|rd|nd|st)", "]"),
+    (r" +|\.+|\[.*?\]|\[?\d+:\d+\]?|\(.*?\)|-|^[\dXx]+$|%|__|:0\]", ""),
+    (r"Dataregister|Independentdataregister", "DATA"),
+    (r"Framefilterreg0.*", "FRAME_FILTER_REG"),
+    (r"[Rr]es(erved)?|[Rr]egular|x_x(bits)?|NotAvailable|RefertoSection\d+:Comparator", ""),
+    (r"Sampletimebits|Injectedchannelsequence|channelsequence|conversioninregularsequencebits", ""),
+    (r"conversioninsequencebits|conversionininjectedsequencebits|or|first|second|third|fourth", ""),
+)
+BIT_RULES: tuple[Rule, ...] = ((r".*:", ""),)
+GLOBAL_OFFSET_RULES: tuple[Rule, ...] = ((r"[Rr]eserved", ""),)
+PERIPHERAL_RULES: tuple[Rule, ...] = (  # TXT-07
+    (r" +", ""),
+    (r".*?\(([A-Z]+|DMA2D)\).*?", "$1"),
+    (r"Reserved|Port|Power|Registers|Reset|\(.*?\)|_REG", ""),
+    (r"(\d)/I2S\d", "$1"),
+    (r"/I2S|CANMessageRAM|Cortex-M4|I2S\dext|^GPV$", ""),
+    ("Ethernet", "ETH"),
+    ("Flash", "FLASH"),
+    (r"(?i).*ETHERNET.*", "ETH"),
+    (r"(?i)Firewall", "FW"),
+    (r"HDMI-|", ""),
+    ("SPDIF-RX", "SPDIFRX"),
+    ("SPI2S2", "SPI2"),
+    ("Tamper", "TAMP"),
+    ("TT-FDCAN", "FDCAN"),
+    (r"USBOTG([FH])S", "USB_OTG_$1S"),
+    ("LCD-TFT", "LTDC"),
+    ("DSIHOST", "DSI"),
+    ("TIMER", "TIM"),
+    (r"^VREF$", "VREFBUF"),
+    ("DelayBlock", "DLYB"),
+    ("I/O", ""),
+    ("DAC1/2", "DAC12"),
+    (r"[a-z]", ""),
+)
+ADDRESS_RULES: tuple[Rule, ...] = ((r" |\(\d\)", ""),)
+SECTION_RULES: tuple[Rule, ...] = ((r"-", ""),)
+HEADER_RULES: tuple[Rule, ...] = ((r"Peripheral +register +map", "map"),)
+BUS_RULES: tuple[Rule, ...] = ((r".*(A\wB\d).*", "$1"), ("-", ""))
+PIN_RULES: tuple[Rule, ...] = ((r"sup| |D?NC|/$|\(.*?\)|.*?connected.*", ""), ("–", "-"), (r"VREF_\+", "VREF+"))  # TXT-08
+ADDITIONAL_RULES: tuple[Rule, ...] = ((r"[- ]|\(.*?\)|.*?selection.*|.*?reset.*", ""), ("OPAMP", ",OPAMP"), ("COMP", ",COMP"), ("OPAMP,1", "OPAMP1"))
+FUNCTION_RULES: tuple[Rule, ...] = ((r"[- ]|\(.*?\)", ""), ("LCD_SEG", ",LCD_SEG"))
+POSITION_RULES: tuple[Rule, ...] = ((r"[“”\-\"]|NC|\(.*?\)", ""),)
+SIGNAL_RULES: tuple[Rule, ...] = (
+    (r"[- ]|\(.*?\)", ""),
+    (r"(MOSI|SCK|NSS)I2S", "$1,I2S"),
+    ("_µM", "_M"),
+    (r"(CH\d)TIM", "$1,TIM"),
+    (r"_([RT]XD\d?|DV|EN|CLK)ETH_", "_$1,ETH_"),
+)
+PACKAGE_RULES: tuple[Rule, ...] = (  # TXT-09
+    ("UFBGA/TFBGA64", "UFBGA64/TFBGA64"),
+    ("LPQF", "LQFP"),
+    ("TSSPOP", "TSSOP"),
+    ("UFBG100", "UFBGA100"),
+    ("UBGA", "UFBGA"),
+    ("UQFN", "UFQFPN"),
+    ("WLCSP20L", "WLCSP20"),
+    ("UFQFPN48E", "UFQFPN48+E"),
+    ("UFQFN", "UFQFPN"),
+    ("LQFP48 SMPS<br>UFQFPN48 SMPS", "LQFP48/UFQFPN48+SMPS"),
+    ("LQFP<br>64", "LQFP64"),
+    ("LQFP<br>48", "LQFP48"),
+    ("UFQFPN<br>32", "UFQFPN32"),
+    ("UFQFP<br>N48", "UFQFPN48"),
+    ("WLCSP<br>25", "WLCSP25"),
+    (r"^BGA", "UFBGA"),
+    (r"\(\d\)| ", ""),
+    (r"[Ee]xt-?/?", ""),
+    ("<br>SMPS", "SMPS"),
+    ("SMSP", "SMPS"),
+    (r"with|-|_", "+"),
+    ("or", "/"),
+    (r"\(STM32L0.*?UxSonly\)", "+S"),
+    (r"(\d+)SMPS", "$1+SMPS"),
+    (r"\+GP", ""),
+)
+#: TXT-20
+MEMORY_NAMES = {
+    "irom1": "flash",
+    "main_flash": "flash",
+    "flash-secure": "flash_s",
+    "flash-non-secure": "flash_ns",
+    "flash_bank1": "flash1",
+    "flash_bank2": "flash2",
+    "iram1": "sram1",
+    "iram2": "sram2",
+    "sram-secure": "sram_s",
+    "sram-non-secure": "sram_ns",
+    "sram1_2": "sram1",
+    "ram_d1": "d1_sram",
+    "ram_d2": "d2_sram1",
+    "ram_d2s2": "d2_sram2",
+    "ram_d2s3": "d2_sram3",
+    "ram_d3": "d3_sram",
+    "axi_sram": "d1_sram",
+    "ahb_sram": "d2_sram1",
+    "ccm_ram": "ccm",
+    "dtcmram": "dtcm",
+    "dtcm_ram": "dtcm",
+    "bkp_sram": "backup",
+}
+#: TXT-19: device names whose HAL folder isn't the family followed by xx.
+FAMILY_FOLDERS = {"h7r": "h7rsxx", "h7s": "h7rsxx", "wb0": "wb0x", "wba": "wbax", "wl3": "wl3x"}
+
+
+def vector_names(cell: Column | str) -> Column:
+    """Interrupt names of a vector table's cell (TXT-05)."""
+    return listify(replace_subs(cell, VECTOR_RULES, VECTOR_TAGS), ",")
+
+
+def packages(domain: Column | str) -> Column:
+    """array<struct<name, package, family, pins>> of a pinout's column domain (TXT-09).
+
+    The domain's last part is a cell of package names; what stands after the
+    first plus sign, or as devices in an earlier part, filters all of them and
+    stays in ``name``. Parts that name no package are left out.
+    """
+    domain = _re(domain)
+    listed = F.regexp_extract(domain, ":(STM32.*?):", 1)
+    only = F.when(listed != "", F.concat(F.lit("+"), F.array_join(F.transform(listify(listed), lambda d: F.replace(d, F.lit("x"), F.lit("."))), "|"))).otherwise("")
+    cell = F.concat(fold(F.element_at(F.split(domain, ":"), -1), PACKAGE_RULES), only)
+    names, at = F.substring_index(cell, "+", 1), F.instr(cell, "+")
+    suffix = F.when(at > 0, F.substring(cell, at, F.length(cell))).otherwise("")
+    parts = F.filter(F.split(names, r"[/,]| or |<br>"), lambda p: p.rlike(r"[A-Za-z]+\d+"))
+    return F.transform(parts, lambda p: F.struct(F.concat(p, suffix).alias("name"), split_package(p)["package"].alias("package"), split_package(p)["family"].alias("family"), split_package(p)["pins"].alias("pins")))
+
+
+def hal_folder(device: Column | str) -> Column:
+    """HAL folder of a device name such as stm32f407vgt6: the family and xx, but for special cases (TXT-19)."""
+    name = F.lower(_re(device))
+    table = F.create_map(*[F.lit(x) for kv in FAMILY_FOLDERS.items() for x in kv])
+    return F.coalesce(F.try_element_at(table, F.substring(name, 6, 3)), F.concat(F.substring(name, 6, 2), F.lit("xx")))
+
+
+def memory_name(name: Column | str) -> Column:
+    """Canonical name of a memory (TXT-20); the EEPROM is known by its loader's file."""
+    out = renamed(name, MEMORY_NAMES)
+    return F.when(F.contains(out, F.lit("_eeprom.flm")), "eeprom").otherwise(out)
 
 
 def renamed(name: Column | str, names: Mapping[str, str]) -> Column:

@@ -55,17 +55,56 @@ def first_match(value: Column, rules: Sequence[tuple[str, object]], default: obj
 def first_match_rules(df: DataFrame, rules: DataFrame, row_key: Sequence[str], conditions: Sequence[str], priority: str = "priority", value: str = "value") -> DataFrame:
     """The same where rules are rows: ``rules`` has, for each condition, an array of allowed values or null for any.
 
-    Joins on a condition that all rules state, if there is one; else it is a
-    nested loop over the rules, whose table is the small side.
+    Rules that state the same conditions are found by one equality join on
+    those conditions: a row is looked up once for each set of conditions that
+    occurs among the rules (2 to the number of conditions at most). The rules
+    that state nothing come down to one, which needs no join. A null never
+    meets a stated condition.
     """
-    fits = reduce(lambda a, b: a & b, [F.col(f"r.{c}").isNull() | F.array_contains(F.col(f"r.{c}"), F.col(f"l.{c}")) for c in conditions])
-    found = df.alias("l").join(rules.alias("r"), fits).groupBy(*[F.col(f"l.{k}") for k in row_key]).agg(F.min_by(F.col(f"r.{value}"), F.col(f"r.{priority}")).alias(value))
-    return df.join(found, list(row_key), "left")
+    bit = {c: 1 << i for i, c in enumerate(conditions)}
+    stated = reduce(lambda a, b: a + b, [F.when(F.col(c).isNotNull(), b).otherwise(0) for c, b in bit.items()])
+    flat = rules.withColumn("__mask", stated)
+    for c in conditions:
+        flat = flat.withColumn(c, F.explode(F.coalesce(F.col(c), F.array(F.lit(None)))))
+    best = F.min_by(F.struct(F.col(priority).alias("p"), F.col(value).alias("v")), F.col(priority)).alias("__rule")
+    keys = flat.groupBy("__mask", *conditions).agg(best)
+    masks = sorted(r[0] for r in keys.select("__mask").distinct().collect())
+    rest = keys.filter("__mask = 0").select("__rule.p", "__rule.v").first()
+    kind = keys.schema["__rule"].dataType
+    anyway = F.lit(None).cast(kind) if rest is None else F.struct(F.lit(rest["p"]).alias("p"), F.lit(rest["v"]).alias("v")).cast(kind)
+    tries = [F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in conditions if bit[c] & m]), m) for m in masks if m]
+    if not tries:
+        return df.withColumn(value, anyway["v"])
+    tried = df.select(*row_key, *[F.col(c).alias(f"__{c}") for c in conditions], F.explode(F.array_compact(F.array(*tries))).alias("__mask"))
+    tried = tried.withColumns({f"__{c}": F.when(F.col("__mask").bitwiseAND(b) != 0, F.col(f"__{c}")) for c, b in bit.items()})
+    lookup = keys.filter("__mask <> 0").withColumnRenamed("__mask", "__m")
+    same = reduce(lambda a, b: a & b, [F.col(f"__{c}").eqNullSafe(lookup[c]) for c in conditions], F.col("__mask") == F.col("__m"))
+    found = tried.join(lookup.drop(*set(row_key) - set(conditions)), same).groupBy(*[tried[k] for k in row_key]).agg(F.min_by("__rule", "__rule.p").alias("__rule"))
+    first = F.when(F.col("__rule.p") <= anyway["p"], F.col("__rule.v")).otherwise(anyway["v"]) if rest is not None else F.col("__rule.v")
+    return df.join(found, list(row_key), "left").withColumn(value, F.when(F.col("__rule").isNull(), anyway["v"]).otherwise(first)).drop("__rule")
+
+
+def literal_prefix(pattern: Column | str) -> Column:
+    """What each match of a pattern starts with, as far as the pattern spells it out; empty for alternatives."""
+    p = F.col(pattern) if isinstance(pattern, str) else pattern
+    return F.when(F.contains(p, F.lit("|")), F.lit("")).otherwise(F.regexp_extract(p, r"^[A-Za-z0-9_ #]*(?![?*+{])", 0))
+
+
+def pattern_join(values: DataFrame, patterns: DataFrame, column: str, pattern: str) -> DataFrame:
+    """Values that start with a match of a pattern: an equality join on the pattern's literal prefix, then the pattern. Only patterns that start with no literal are tried on every value."""
+    held = patterns.filter(F.col(pattern).isNotNull()).withColumn("__literal", literal_prefix(pattern))
+    fits = F.expr(f"{column} rlike concat('^(?:', {pattern}, ')')")
+    lengths = sorted(r[0] for r in held.select(F.length("__literal")).distinct().collect())
+    out = prefix_join(values, held.filter("__literal <> ''"), column, "__literal").filter(fits)
+    if lengths[:1] == [0]:
+        out = out.unionByName(values.join(held.filter("__literal = ''"), fits).select(*out.columns))
+    return out.drop("__literal")
 
 
 def matches_any(df: DataFrame, column: str, patterns: DataFrame, pattern: str = "pattern") -> DataFrame:
-    """Rows whose value starts with a match of some pattern (FLT-08, JOI-03, JOI-04)."""
-    return df.join(patterns, F.expr(f"{column} rlike concat('^(?:', {pattern}, ')')"), "left_semi")
+    """Rows whose value starts with a match of some pattern (FLT-08, JOI-03, JOI-04). Each distinct value is tried once."""
+    tried = pattern_join(df.select(F.col(column).alias("__value")).distinct(), patterns.select(F.col(pattern).alias("__pattern")).distinct(), "__value", "__pattern")
+    return df.join(tried.select(F.col("__value").alias(column)).distinct(), column, "left_semi")
 
 
 def matches_one_of(df: DataFrame, column: str, patterns: Sequence[str]) -> DataFrame:
@@ -82,7 +121,7 @@ def claim(column: str, patterns: Sequence[str]) -> Column:
 def claim_rows(df: DataFrame, column: str, files: DataFrame, row_key: Sequence[str], pattern: str = "pattern", name: str = "file") -> DataFrame:
     """The same where the patterns are rows: of the files whose pattern matches, the one with the longest pattern, fewest wildcards, first name."""
     rank = F.struct(-F.length(pattern), F.length(F.regexp_replace(pattern, r"[^.x]", "")), F.col(name))
-    hit = df.join(files, F.expr(f"{column} rlike concat('^(?:', {pattern}, ')')"))
+    hit = pattern_join(df, files, column, pattern)
     return hit.groupBy(*row_key).agg(F.min_by(F.col(name), rank).alias(name))
 
 
@@ -90,15 +129,17 @@ def cascade(left: DataFrame, right: DataFrame, tiers: Sequence[Column], row_key:
     """Pairs of the first tier that has any for the left row; all pairs of that tier (JOI-07).
 
     Each tier is a condition on columns of both sides, which must not share
-    names. Where ``condition`` holds an equality, it is a hash join.
+    names. Where ``condition`` holds an equality, it is a hash join; without
+    one every type is tried on every row, so the right side must be small.
     """
     tier = F.lit(None).cast("int")
     for i, t in reversed(list(enumerate(tiers))):
         tier = F.when(t, F.lit(i)).otherwise(tier)
     any_tier = reduce(lambda a, b: a | b, tiers)
     pairs = left.join(right, any_tier if condition is None else condition & any_tier).withColumn("tier", tier)
-    best = pairs.groupBy(*row_key).agg(F.min("tier").alias("tier"))
-    return pairs.join(best, [*row_key, "tier"])
+    # the pairs are made once: a window over one row's partners, not a join with their minimum
+    best = F.min("tier").over(Window.partitionBy(*row_key))
+    return pairs.withColumn("__best", best).filter("tier = __best").drop("__best")
 
 
 def unambiguous(df: DataFrame, row_key: Sequence[str], rank: Column) -> DataFrame:

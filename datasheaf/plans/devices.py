@@ -171,21 +171,35 @@ def numbered_mux(rows: DataFrame) -> DataFrame:
     return rows.withColumn("position", windows.place(["did", "mux"], ["ord"]))
 
 
+#: Other names of requests (TXT-18); fixed values.
 REQUEST_ALIASES: tuple[tuple[str, str], ...] = (
-    (r"^MEM2MEM.*$", "MEM"),
-    (r"^DMA_GENERATOR(\d+)$", "REQUEST_GEN$1"),
-    (r"^GENERATOR(\d+)$", "REQUEST_GEN$1"),
-    (r"^(SPI|I2C|USART|UART|LPUART)(\d*)_(RX|TX)$", "$1$2:$3"),
-    (r"^(TIM|HRTIM|LPTIM)(\d*)_(CH\d|UP|TRIG|COM)$", "$1$2:$3"),
-    (r"^DAC(\d)?_?(?:OUT|CH)(\d)$", "DAC$1:CH$2"),
+    (r"^FMAC_READ$", "FMAC_RD"),
+    (r"^FMAC_WRITE$", "FMAC_WR"),
+    (r"^CORDIC_READ$", "CORDIC_RD"),
+    (r"^CORDIC_WRITE$", "CORDIC_WR"),
+    (r"^DCMI_PSSI$", "PSSI"),
+    (r"^TIM16_COM$", "TIM16_TRIG_COM"),
+    (r"^TIM17_COM$", "TIM17_TRIG_COM"),
+    (r"^HRTIM_MASTER$", "HRTIM1_M"),
+    (r"^HRTIM_TIMER_", "HRTIM1_"),
+    (r"^SUBGHZSPI_RX$", "SUBGHZ_RX"),
+    (r"^SUBGHZSPI_TX$", "SUBGHZ_TX"),
+    (r"^DAC$", "DAC_OUT1"),
+    (r"^USART_TX$", "USART1_TX"),
+    (r"^USART_RX$", "USART1_RX"),
+    (r"^LPUART_TX$", "LPUART1_TX"),
+    (r"^LPUART_RX$", "LPUART1_RX"),
+    (r"^(DAC[0-9])_CHANNEL([0-9]).*$", "$1_CH$2"),
 )
 
 
-def request_map(requests: DataFrame) -> DataFrame:
-    """(name, id) of DMA requests and of their other names (DOM-11, TXT-18): originals stay, and an alias that a request itself has is the request's."""
+def request_map(requests: DataFrame, prefix: str = "DMA") -> DataFrame:
+    """(name, id) of DMA requests and of their other names (DOM-11, TXT-18): originals stay, but an alias takes its name from a request that has it. Generators get the prefix."""
     named = [F.when(F.col("name").rlike(p), F.regexp_replace("name", p, r)) for p, r in REQUEST_ALIASES]
-    aliases = requests.select(F.explode(F.array_compact(F.array(*named))).alias("name"), "id").groupBy("name").agg(F.min("id").alias("id"))
-    return requests.select("name", "id").unionByName(aliases.join(requests.select("name"), "name", "left_anti"))
+    generator = F.when(F.startswith("name", F.lit("GENERATOR")), F.concat(F.lit(f"{prefix}_"), "name"))
+    aliases = requests.select(F.explode(F.array_compact(F.array(generator, *named))).alias("name"), F.lit(1).alias("rank"), "id")
+    both = requests.select("name", F.lit(0).alias("rank"), "id").unionByName(aliases)
+    return both.groupBy("name").agg(F.max_by("id", F.struct("rank", "id")).alias("id"))
 
 
 def resolved_requests(names: DataFrame, numbers: DataFrame) -> DataFrame:

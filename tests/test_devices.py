@@ -48,8 +48,9 @@ def test_signals_and_requests(spark):
     s = spark.createDataFrame([("PA0", 1, "TIM2_CH1-TIM2_ETR"), ("PA1", 2, "NOPE")], "pin string, af int, signal string")
     m = spark.createDataFrame([("TIM2", "tim", 2), ("TIM", "tim", None)], "module string, driver string, instance int")
     assert rows(devices.split_signals(s, m)) == [("PA0", 1, "tim", 2, "CH1"), ("PA0", 1, "tim", 2, "ETR")]
-    r = spark.createDataFrame([("SPI1_RX", 5), ("DAC_CH1", 7)], "name string, id int")
-    assert dict(rows(devices.request_map(r))) == {"SPI1_RX": 5, "SPI1:RX": 5, "DAC_CH1": 7, "DAC:CH1": 7}
+    r = spark.createDataFrame([("SPI1_RX", 5), ("DAC1_CHANNEL2", 7), ("GENERATOR3", 4), ("FMAC_READ", 1), ("FMAC_RD", 9), ("HRTIM_TIMER_A", 2)], "name string, id int")
+    same = {"SPI1_RX": 5, "DAC1_CHANNEL2": 7, "GENERATOR3": 4, "FMAC_READ": 1, "HRTIM_TIMER_A": 2}
+    assert dict(rows(devices.request_map(r))) == same | {"DAC1_CH2": 7, "DMA_GENERATOR3": 4, "FMAC_RD": 1, "HRTIM1_A": 2}
     d = spark.createDataFrame([("d", "DMA2_Stream3", "DMA_CHANNEL_4", "a", 1), ("d", "DMA2_Stream3", "DMA_CHANNEL_4", "b", 2), ("d", "DMA2_Stream3", "DMA_CHANNEL_4", "a", 3)], "did string, parent string, name string, signal string, ord int")
     assert rows(devices.dma_channels(d)) == [("d", 2, 3, 4, ["b", "a"])]
     listed = spark.createDataFrame([("PA0", "TIM2_CH1-TIM2_ETR", 1)], "pin string, signal string, af int")

@@ -79,3 +79,21 @@ def test_geometry(spark):
     )
     assert r.true_overlap and not r.compat and tuple(r.joined) == (0, 0, 10, 10)
     assert r.width == 4 and r.direction == "horizontal" and not r.touch
+
+
+def test_vendor_rules(spark):
+    def of(value, column):
+        return spark.createDataFrame([(value,)], "v string").select(column).first()[0]
+
+    assert of("<p>USART1_IRQn</p><p>EXTI[9:5]</p>", text.vector_names("v")) == ["USART1", "EXTI9_5"]
+    assert of("0x00 to 0x0C", text.fold("v", text.OFFSET_RULES)) == "0x00-0x0C"
+    assert of("CCMR1 Output compare mode", text.fold("v", text.REGISTER_RULES)) == "CCMR1_Output"
+    assert of("Reserved", text.fold("v", text.REGISTER_RULES)) == ""
+    assert of("DR [15:0]", text.fold("v", text.FIELD_RULES)) == "DR"
+    assert of("USB OTG FS", text.fold("v", text.PERIPHERAL_RULES)) == "USB_OTG_FS"
+    assert of("SPI2/I2S2", text.fold("v", text.PERIPHERAL_RULES)) == "SPI2"
+    assert of("MOSII2S", text.fold("v", text.SIGNAL_RULES)) == "MOSI,I2S"
+    assert [tuple(p) for p in of("Pin:LPQF48 or UFQFN32", text.packages("v"))] == [("LQFP48", "LQFP48", "LQFP", 48), ("UFQFPN32", "UFQFPN32", "UFQFPN", 32)]
+    assert [p.name for p in of("Pin:STM32F40x, STM32F41x:LQFP64 SMPS", text.packages("v"))] == ["LQFP64+SMPS+STM32F40.|STM32F41."]
+    assert [of(d, text.hal_folder("v")) for d in ("stm32f407vgt6", "stm32h7r3", "stm32wb09")] == ["f4xx", "h7rsxx", "wb0x"]
+    assert [of(d, text.memory_name("v")) for d in ("irom1", "x_eeprom.flm", "ccm")] == ["flash", "eeprom", "ccm"]

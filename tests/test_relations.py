@@ -105,3 +105,19 @@ def test_layout(spark):
     blocks = layout.merge_pages(layout.blocks(lines, 10.0))
     assert [(r.kind, r.text) for r in blocks.orderBy("position").collect()] == [("heading", "1 Intro"), ("paragraph", "Some text goes on"), ("list_bullet", "• first"), ("list_bullet", "• second"), ("note", "Note: care")]
     assert layout.grouped_lists(blocks).first()["items"] == ["• first", "• second"]
+
+
+def test_rules_by_key(spark):
+    df = spark.createDataFrame([("f4", 1), ("f4", 2), ("l4", 1), (None, 1), ("l4", None)], "did string, pin int").withColumn("n", F.monotonically_increasing_id())
+    rules = spark.createDataFrame([(3, ["f4"], None, "f"), (2, ["f4", "l4"], [2], "two"), (1, None, [2], "any two"), (4, ["l4"], [1], "l1")], "priority int, did array<string>, pin array<int>, value string")
+    got = joins.first_match_rules(df, rules, ["n"], ["did", "pin"])
+    assert {(r.did, r.pin): r.value for r in got.collect()} == {("f4", 1): "f", ("f4", 2): "any two", ("l4", 1): "l1", (None, 1): None, ("l4", None): None}
+    assert [r.value for r in joins.first_match_rules(df, rules.limit(0), ["n"], ["did", "pin"]).collect()] == [None] * 5
+
+
+def test_pattern_join(spark):
+    values = spark.createDataFrame([("stm32f405",), ("stm32f407",), ("stm32l4",), (None,)], "v string")
+    patterns = spark.createDataFrame([("stm32f40[5]",), ("stm32f4?0",), ("stm32l4|x",), (".*7",), (None,)], "p string")
+    got = sorted((r.v, r.p) for r in joins.pattern_join(values, patterns, "v", "p").collect())
+    assert got == [("stm32f405", "stm32f40[5]"), ("stm32f405", "stm32f4?0"), ("stm32f407", ".*7"), ("stm32f407", "stm32f4?0"), ("stm32l4", "stm32l4|x")]
+    assert sorted(r.v for r in joins.matches_any(values, "v", patterns.filter("p like 'stm32f%'"), "p").collect()) == ["stm32f405", "stm32f407"]
