@@ -34,7 +34,7 @@ def replace_subs(html: Column | str, rules: Sequence[Rule] = (), tags: Mapping[s
 def listify(text: Column | str, pattern: str = r" |,|/|<br>", strip: bool = True) -> Column:
     """Split by a pattern, trim, drop what is empty (TXT-03). A null text has no parts."""
     parts = F.split(F.coalesce(_re(text), F.lit("")), pattern)
-    return F.filter(F.transform(parts, F.trim) if strip else parts, lambda x: x != "")
+    return F.filter(F.transform(parts, lambda x: F.trim(x)) if strip else parts, lambda x: x != "")
 
 
 def split_package(name: Column | str) -> Column:

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from datasheaf.functions import geometry, text
+from datasheaf.functions import geometry, maps, text
 from datasheaf.operators import aggregates, filters, joins, layout, tables, trees, windows
-from datasheaf.sources import html
+from datasheaf.plans import devices
+from datasheaf.sources import cheader, html, xml
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -49,6 +50,12 @@ def text_listify_count(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", F.size(text.listify("text")).alias("parts"))
 
 
+@query("SELECT p_partkey, '0' || p_size || '|' || p_brand || '|' || replace(p_name, ' ', '|') || '|10' AS parts FROM part")
+def text_listify(spark, sf_dir):
+    cell = F.concat(F.lit("0"), F.col("p_size").cast("string"), F.lit(",, "), "p_brand", F.lit("<br>"), "p_name", F.lit("/10"))
+    return _t(spark, sf_dir, "part").select("p_partkey", F.array_join(text.listify(cell), "|").alias("parts"))
+
+
 @query(r"SELECT doc_id, CAST(len(regexp_extract_all(text, '[A-Za-z0-9_]+')) AS INTEGER) AS words FROM documents")
 def text_word_counts(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", F.size(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9_]+"), F.lit(0))).alias("words"))
@@ -448,6 +455,303 @@ def children_by_path(spark, sf_dir):
     return joins.children_of(paths.unionByName(regions.select(F.col("r_name").alias("path"))), "path", regions.select(F.col("r_name").alias("root")), "root").select("path", F.rtrim(F.col("root"), F.lit("/")).alias("root"))
 
 
+@query("SELECT p_partkey, p_brand || '|' || left(p_brand, length(p_brand) - length(CAST(p_size AS VARCHAR))) || p_size AS names FROM part")
+def text_expand_combo(spark, sf_dir):
+    names = text.expand_combo(F.concat("p_brand", F.lit("/"), F.col("p_size").cast("string")))
+    return _t(spark, sf_dir, "part").select("p_partkey", F.array_join(names, "|").alias("names"))
+
+
+@query("SELECT p_partkey, 'stm32f40' || p_size % 10 || '.|stm32f41' || p_size % 10 || '.|stm32g0' || p_partkey % 4 || '.' AS pattern FROM part")
+def text_device_pattern(spark, sf_dir):
+    n = (F.col("p_size") % 10).cast("string")
+    caption = F.concat(F.lit("Pins of STM32G0"), (F.col("p_partkey") % 4).cast("string"), F.lit("x and STM32F40"), n, F.lit("x/F41"), n, F.lit("x"))
+    return _t(spark, sf_dir, "part").select("p_partkey", text.device_pattern(caption).alias("pattern"))
+
+
+@query("SELECT o_orderkey, 'stm32' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || CASE WHEN o_orderstatus = 'F' THEN '@m4' ELSE '' END AS name FROM orders")
+def text_format_device(spark, sf_dir):
+    name = F.concat(F.lit("STM32"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0"), F.when(F.col("o_orderstatus") == "F", "@M4").otherwise(""))
+    return _t(spark, sf_dir, "orders").select("o_orderkey", text.format_device(text.parse_device(name)).alias("name"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 11 BETWEEN 1 AND 9 THEN 'v' || p_size % 11 || '_' || p_partkey % 10 ELSE p_type || '-v' || p_size % 11 || '_' || p_partkey % 10 || '_0' END AS version FROM part")
+def text_clean_version(spark, sf_dir):
+    raw = F.concat("p_type", F.lit("-v"), (F.col("p_size") % 11).cast("string"), F.lit("_"), (F.col("p_partkey") % 10).cast("string"), F.lit("_0"))
+    return _t(spark, sf_dir, "part").select("p_partkey", text.clean_version(raw).alias("version"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 13 < 11 THEN lower(chr(CAST(65 + p_size % 13 AS INTEGER))) END AS port, CASE WHEN p_size % 13 < 11 THEN CAST(p_partkey % 16 AS INTEGER) END AS number,
+    CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_size % 13 >= 11, CASE WHEN p_size % 13 < 11 THEN p_size % 13 END, CASE WHEN p_size % 13 < 11 THEN p_partkey % 16 END,
+        'P' || chr(CAST(65 + p_size % 13 AS INTEGER)) || p_partkey % 16, p_partkey) AS INTEGER) AS place FROM part""")
+def text_pin_order(spark, sf_dir):
+    pin = F.concat(F.lit("P"), F.char(65 + F.col("p_size") % 13), (F.col("p_partkey") % 16).cast("string"))
+    parts = _t(spark, sf_dir, "part").withColumn("pin", pin)
+    name = text.pin_name("pin")
+    place = windows.place(["p_brand"], [text.pin_order("pin"), F.col("p_partkey")]) + 1
+    return parts.select("p_partkey", name["port"].alias("port"), name["number"].alias("number"), place.alias("place"))
+
+
+@query("SELECT p_partkey, unnest(string_split(p_name, ' ')) AS signal FROM part UNION ALL SELECT p_partkey, p_type FROM part")
+def text_split_signals(spark, sf_dir):
+    joined = F.concat(F.translate("p_name", " ", "-"), F.lit("--"), "p_type", F.lit("-"))
+    return _t(spark, sf_dir, "part").select("p_partkey", F.explode(text.split_signals(joined)).alias("signal"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size = 13 THEN NULL WHEN p_size = 2 THEN 45 WHEN p_size = 50 THEN 8226 ELSE p_size END AS code FROM part")
+def text_visible_glyph(spark, sf_dir):
+    code = F.when(F.col("p_size") == 50, 61623).otherwise(F.col("p_size"))
+    return _t(spark, sf_dir, "part").select("p_partkey", text.visible_glyph(code).alias("code"))
+
+
+@query("SELECT p_partkey, replace(p_name, ' ', '_') || '_mm2_' || lower(p_type) AS slug, p_size || '.' || p_partkey || '__' || replace(p_name, ' ', '_') || '_' || p_type AS file FROM part")
+def text_slugs(spark, sf_dir):
+    title = F.concat(F.col("p_size").cast("string"), F.lit("."), F.col("p_partkey").cast("string"), F.lit(": "), "p_name", F.lit(" (mm²)/"), "p_type")
+    plain = F.concat(F.col("p_size").cast("string"), F.lit("."), F.col("p_partkey").cast("string"), F.lit(": "), "p_name", F.lit("/"), "p_type")
+    return _t(spark, sf_dir, "part").select("p_partkey", text.slug(title).alias("slug"), text.file_name(plain).alias("file"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 4 = 3 THEN NULL ELSE CAST(p_partkey * 3 AS BIGINT) END AS number,
+    CAST(p_size * 1000 + 500 AS BIGINT) AS millivolts, CAST(p_size * 1000000 AS BIGINT) AS hertz FROM part""")
+def text_numbers(spark, sf_dir):
+    n, kind = F.col("p_partkey") * 3, F.col("p_size") % 4
+    written = F.when(kind == 0, F.concat(F.lit("0x"), F.lower(F.hex(n)))).when(kind == 1, F.concat(F.lit("0b"), F.bin(n))).when(kind == 2, n.cast("string")).otherwise(F.lit("n/a"))
+    size = F.col("p_size").cast("string")
+    return _t(spark, sf_dir, "part").select("p_partkey", text.number_of(written).alias("number"), text.quantity(F.concat(F.lit("above "), size, F.lit(".5 V"))).alias("millivolts"), text.quantity(F.concat(size, F.lit("MHz max"))).alias("hertz"))
+
+
+@query("SELECT p_partkey, upper(split_part(p_name, ' ', 1)) || p_size || ',' || p_type AS vectors, upper(p_type) || '-' || p_size AS offset_ FROM part")
+def text_vendor_rules(spark, sf_dir):
+    first = F.upper(F.substring_index("p_name", " ", 1))
+    cell = F.concat(F.lit("<p>"), first, F.col("p_size").cast("string"), F.lit("_IRQn</p><p>"), "p_type", F.lit(" (reserved)</p>"))
+    span = F.concat(F.upper("p_type"), F.lit(" to "), F.col("p_size").cast("string"), F.lit(" (2)"))
+    return _t(spark, sf_dir, "part").select("p_partkey", F.array_join(text.vector_names(cell), ",").alias("vectors"), text.fold(span, text.OFFSET_RULES).alias("offset_"))
+
+
+@query("""SELECT p_partkey, 'LQFP' || p_size || '+' || p_type AS name, 'LQFP' AS family, p_size AS pins FROM part
+    UNION ALL SELECT p_partkey, 'UFQFPN' || p_size || '+' || p_type, 'UFQFPN', p_size FROM part""")
+def text_packages(spark, sf_dir):
+    n = F.col("p_size").cast("string")
+    domain = F.concat(F.lit("Pin:Number:LPQF"), n, F.lit("/UFQFN "), n, F.lit("_"), "p_type")
+    found = F.explode(text.packages(domain)).alias("p")
+    return _t(spark, sf_dir, "part").select("p_partkey", found).select("p_partkey", "p.name", "p.family", "p.pins")
+
+
+@query("""SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'flash' WHEN 'O' THEN 'eeprom' ELSE 'x' || o_orderkey % 3 END AS memory,
+    CASE o_orderkey % 3 WHEN 0 THEN 'wb0x' WHEN 1 THEN 'h7rsxx' ELSE 'f4xx' END AS folder FROM orders""")
+def text_renames(spark, sf_dir):
+    k = F.col("o_orderkey") % 3
+    raw = F.when(F.col("o_orderstatus") == "F", "irom1").when(F.col("o_orderstatus") == "O", "m24_eeprom.flm").otherwise(F.concat(F.lit("x"), k.cast("string")))
+    device = F.when(k == 0, "STM32WB09").when(k == 1, "STM32H7S3").otherwise("STM32F407")
+    return _t(spark, sf_dir, "orders").select("o_orderkey", text.memory_name(raw).alias("memory"), text.hal_folder(device).alias("folder"))
+
+
+@query("""WITH r AS (SELECT n_name AS name, n_nationkey AS id FROM nation UNION ALL SELECT 'GENERATOR' || n_nationkey, n_nationkey + 100 FROM nation UNION ALL SELECT 'DAC' || n_nationkey || '_CHANNEL1', n_nationkey + 200 FROM nation WHERE n_nationkey < 10)
+    SELECT * FROM r UNION ALL SELECT 'DMA_' || name, id FROM r WHERE name LIKE 'GENERATOR%' UNION ALL SELECT replace(name, 'CHANNEL', 'CH'), id FROM r WHERE name LIKE 'DAC%'""")
+def request_aliases(spark, sf_dir):
+    nations, k = _t(spark, sf_dir, "nation"), F.col("n_nationkey")
+    names = nations.select(F.col("n_name").alias("name"), k.alias("id")).unionByName(nations.select(F.concat(F.lit("GENERATOR"), k.cast("string")).alias("name"), (k + 100).alias("id")))
+    names = names.unionByName(nations.filter(k < 10).select(F.concat(F.lit("DAC"), k.cast("string"), F.lit("_CHANNEL1")).alias("name"), (k + 200).alias("id")))
+    return devices.request_map(names)
+
+
+@query("SELECT doc_id, source FROM documents WHERE regexp_matches(source, '(?i)SRC1')")
+def rows_by_pattern(spark, sf_dir):
+    return filters.by_pattern(_t(spark, sf_dir, "documents").select("doc_id", "source"), "source", "SRC1")
+
+
+@query("SELECT p_partkey, CASE WHEN p_type LIKE '%O%' THEN 'type|' ELSE '' END || 'size' AS keys, CASE WHEN p_type LIKE '%O%' THEN p_name END AS value FROM part")
+def map_keys_by_pattern(spark, sf_dir):
+    m = F.create_map(F.when(F.contains("p_type", F.lit("O")), "type").otherwise("other"), "p_name", F.lit("size"), F.col("p_size").cast("string"))
+    values = maps.match_values(m, "^TYPE$")
+    return _t(spark, sf_dir, "part").select("p_partkey", F.array_join(maps.match_keys(m, "TYPE|SIZE"), "|").alias("keys"), F.get(values, 0).alias("value"))
+
+
+@query("SELECT p_partkey, regexp_matches(p_brand, 'Brand#1') OR regexp_matches(p_brand, '3$') AS fits FROM part")
+def any_filter_of_map(spark, sf_dir):
+    wanted = F.create_map(F.lit("brand"), F.array(F.lit("Brand#1"), F.lit("3$")), F.lit("absent"), F.array(F.lit(".")))
+    return _t(spark, sf_dir, "part").select("p_partkey", maps.any_filter(wanted, F.create_map(F.lit("brand"), "p_brand")).alias("fits"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_name ELSE 'left' END AS a, p_brand AS b FROM part")
+def map_overlay(spark, sf_dir):
+    left, right = F.create_map(F.lit("a"), F.lit("left"), F.lit("b"), "p_brand"), F.create_map(F.when(F.col("p_size") % 2 == 0, "a").otherwise("c"), "p_name")
+    both = maps.overlay(left, right)
+    return _t(spark, sf_dir, "part").select("p_partkey", F.element_at(both, "a").alias("a"), F.element_at(both, "b").alias("b"))
+
+
+@query(r"SELECT doc_id, regexp_replace(regexp_replace(source || p, '^-+', ''), '-+$', '') AS stripped FROM (SELECT doc_id, source, CASE WHEN doc_id % 3 = 0 THEN '--' ELSE '-x-' END AS p FROM documents)")
+def strip_lists(spark, sf_dir):
+    ends = F.when(F.col("doc_id") % 3 == 0, "--").otherwise("-x-")
+    letters = F.split(F.concat("source", ends), "")
+    return _t(spark, sf_dir, "documents").select("doc_id", F.array_join(maps.strip(letters, lambda c: c == "-"), "").alias("stripped"))
+
+
+@query("""SELECT s_suppkey, CAST(s_nationkey % 5 = s_nationkey % 7 AS BOOLEAN) AS inside, CASE WHEN s_nationkey % 3 = 0 THEN 'horizontal' WHEN s_nationkey % 4 = 0 THEN 'vertical' ELSE 'angle' END AS direction,
+    s_nationkey + 4 > 10 AND 15 > s_nationkey AS overlap FROM supplier""")
+def geometry_predicates(spark, sf_dir):
+    k = F.col("s_nationkey")
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    strip = geometry.box(k % 5, F.lit(1), k % 5, F.lit(0))
+    inside = geometry.contains_point(strip, point(k % 7, F.lit(1)))
+    direction = geometry.direction(point(F.lit(0), F.lit(0)), point(k % 4, k % 3))
+    return _t(spark, sf_dir, "supplier").select("s_suppkey", inside.alias("inside"), direction.alias("direction"), geometry.interval_overlaps(k, k + 4, F.lit(10), F.lit(15)).alias("overlap"))
+
+
+@query("""SELECT s_suppkey, CAST(s_nationkey * 2 AS DOUBLE) AS x0, CAST(s_nationkey * 2 + 20 AS DOUBLE) AS x1, CAST(s_nationkey + 5 AS DOUBLE) AS mid, CAST(s_nationkey * s_nationkey + 9 AS DOUBLE) AS far FROM supplier""")
+def geometry_measures(spark, sf_dir):
+    k = F.col("s_nationkey").cast("double")
+    unit = geometry.box(k, F.lit(0.0), k + 10, F.lit(3.0))
+    scaled = geometry.scaled_area(unit, F.lit(2.0), F.lit(1.0))
+    far = geometry.squared_distance(F.struct(k.alias("x"), F.lit(3.0).alias("y")), F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y")))
+    return _t(spark, sf_dir, "supplier").select("s_suppkey", scaled["x0"].alias("x0"), scaled["x1"].alias("x1"), geometry.midpoint(unit)["x"].alias("mid"), far.alias("far"))
+
+
+@query("SELECT s_suppkey, unnest(generate_series(CAST(s_nationkey * 4 AS BIGINT), s_nationkey * 4 + 3)) AS byte FROM supplier")
+def register_bytes(spark, sf_dir):
+    address = F.col("s_nationkey").cast("bigint") * 4
+    return _t(spark, sf_dir, "supplier").select("s_suppkey", F.explode(geometry.byte_range(address, F.lit(4))).alias("byte"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_quantity + 0.5 BETWEEN 10 AND 20 AND l_linenumber + 0.5 BETWEEN 2 AND 4")
+def glyphs_in_area(spark, sf_dir):
+    x, y = F.col("l_quantity"), F.col("l_linenumber").cast("double")
+    chars = _t(spark, sf_dir, "lineitem").withColumn("bbox", geometry.box(x, y, x + 1, y + 1))
+    return filters.chars_in_area(chars, 10, 2, 20, 4).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("SELECT p_partkey, CAST(length(split_part(p_name, ' ', 1)) + 1 AS INTEGER) AS at FROM part WHERE split_part(p_name, ' ', 2) = 'bolt' UNION ALL SELECT p_partkey, CAST(length(p_name) + 1 AS INTEGER) FROM part")
+def find_words(spark, sf_dir):
+    lines = _t(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.lit(" BOLT bolts")).alias("line"))
+    return filters.find_words(lines, "line", "bolt", case_sensitive=False).select("p_partkey", "at")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_name NOT LIKE 'small%' AND p_name NOT LIKE '%bolt' AND p_name <> 'cold widget'")
+def usable_defines(spark, sf_dir):
+    return filters.usable_defines(_t(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", ["bolt"], ["small"], ["cold widget"])
+
+
+@query("SELECT p_partkey, p_brand FROM part WHERE p_brand NOT LIKE 'Brand#1%' AND p_brand NOT LIKE 'Brand#3%'")
+def without_prefixes(spark, sf_dir):
+    return filters.without_prefixes(_t(spark, sf_dir, "part").select("p_partkey", "p_brand"), "p_brand", ["Brand#1", "Brand#3"])
+
+
+@query("SELECT p_partkey, CAST(row_number() OVER (PARTITION BY p_size ORDER BY length(p) DESC, length(regexp_replace(p, '[^x.]', '', 'g')), instr(p, 'x') DESC, p, p_partkey) AS INTEGER) AS place FROM (SELECT p_partkey, p_size, p_name || '.x' || p_type AS p FROM part)")
+def pattern_specificity(spark, sf_dir):
+    parts = _t(spark, sf_dir, "part").withColumn("p", F.concat("p_name", F.lit(".x"), "p_type"))
+    return parts.select("p_partkey", (windows.place(["p_size"], [filters.specificity("p"), F.col("p_partkey")]) + 1).alias("place"))
+
+
+@query("""WITH b AS (SELECT l_orderkey, min(r) AS rotation FROM (SELECT l_orderkey, l_linenumber % 3 AS r, rank() OVER (PARTITION BY l_orderkey ORDER BY count(*) DESC) AS k FROM lineitem GROUP BY 1, 2) WHERE k = 1 GROUP BY 1)
+    SELECT l_orderkey, avg(l_quantity) AS origin, avg(CAST(l_returnflag = 'R' AS INTEGER)) AS bold_share, min(rotation) AS rotation FROM lineitem JOIN b USING (l_orderkey) GROUP BY l_orderkey""")
+def line_figures(spark, sf_dir):
+    chars = _t(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_quantity").alias("origin"), (F.col("l_returnflag") == "R").alias("bold"), (F.col("l_linenumber") % 3).alias("rotation"))
+    return aggregates.line_figures(chars, ["l_orderkey"])
+
+
+@query("""SELECT event_id, coalesce(CAST(round((lag(value) OVER w - value) / 60) AS INTEGER), 0) AS breaks FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def newlines_between(spark, sf_dir):
+    breaks = windows.newlines(F.col("value"), F.lit(40.0), 1.5, ["user_id"], ["ts", "event_id"])
+    return _t(spark, sf_dir, "events").select("event_id", breaks.alias("breaks"))
+
+
+@query("""SELECT event_id, coalesce(last_value(CASE WHEN event_type <> 'error' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id),
+    first_value(CASE WHEN event_type <> 'error' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), value) AS value FROM events""")
+def fill_boxes(spark, sf_dir):
+    return _t(spark, sf_dir, "events").select("event_id", windows.fill_boxes(F.col("value"), F.col("event_type") != "error", ["user_id"], ["ts", "event_id"]).alias("value"))
+
+
+@query("SELECT 'root/' || r_name || '/' || n_name AS path FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_name LIKE '%1%' UNION ALL SELECT 'root/' || r_name FROM region WHERE r_name LIKE '%1%'")
+def tree_find(spark, sf_dir):
+    return trees.find(_region_tree(spark, sf_dir), F.contains("name", F.lit("1")), 3).select("path")
+
+
+def _region_tree(spark, sf_dir):
+    regions, nations = _t(spark, sf_dir, "region"), _t(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
+    top = regions.select(F.concat(F.lit("root/"), "r_name").alias("path"), F.col("r_name").alias("name"))
+    return top.unionByName(nations.join(regions, "r_regionkey").select(F.concat(F.lit("root/"), "r_name", F.lit("/"), "n_name").alias("path"), F.col("n_name").alias("name")))
+
+
+@query("SELECT '    ' || n_name AS line FROM nation UNION ALL SELECT '  ' || r_name FROM region")
+def tree_outline(spark, sf_dir):
+    return trees.outline(_region_tree(spark, sf_dir))
+
+
+@query("SELECT n_name AS name FROM nation WHERE NOT (n_nationkey >= 10 AND n_nationkey % 10 = 0)")
+def tree_without_aliases(spark, sf_dir):
+    return trees.without_aliases(_t(spark, sf_dir, "nation").select(F.col("n_name").alias("name")), "0")
+
+
+@query("SELECT s_suppkey, s_nationkey * 4096 + c_custkey * 4 AS address FROM supplier JOIN customer ON s_nationkey = c_nationkey")
+def tree_instantiate(spark, sf_dir):
+    instances = _t(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("type"), (F.col("s_nationkey") * 4096).alias("base"))
+    registers = _t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("type"), (F.col("c_custkey") * 4).alias("offset"))
+    return trees.instantiate(instances, registers).select("s_suppkey", (F.col("base") + F.col("offset")).alias("address"))
+
+
+@query("""SELECT n_nationkey AS did, v.position AS position, 'N' || n_nationkey % 5 AS peripheral FROM nation, (SELECT unnest(generate_series(0, 9)) AS position) v WHERE contains('N' || v.position || '_IRQ', 'N' || n_nationkey % 5)""")
+def graph_interrupts(spark, sf_dir):
+    nations = _t(spark, sf_dir, "nation")
+    vectors = nations.select(F.col("n_nationkey").alias("did"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(9).cast("bigint"))).alias("position"))
+    vectors = vectors.withColumn("name", F.concat(F.lit("N"), F.col("position").cast("string"), F.lit("_IRQ")))
+    return trees.interrupts_of(vectors, nations.select(F.col("n_nationkey").alias("did"), F.concat(F.lit("N"), (F.col("n_nationkey") % 5).cast("string")).alias("name")))
+
+
+@query("""WITH RECURSIVE e AS (SELECT n_nationkey AS a, (n_nationkey * 2 + n_regionkey) % 25 AS b FROM nation), r(node, steps) AS
+    (SELECT n_nationkey, 0 FROM nation WHERE n_nationkey = 1 UNION ALL SELECT e.b, r.steps + 1 FROM r JOIN e ON r.node = e.a WHERE r.steps < 3) SELECT node, min(steps) AS steps FROM r GROUP BY node""")
+def graph_reachable(spark, sf_dir):
+    k = F.col("n_nationkey")
+    nations = _t(spark, sf_dir, "nation")
+    edges = nations.select(k.alias("a"), ((k * 2 + F.col("n_regionkey")) % 25).alias("b"))
+    return trees.reachable(edges, nations.filter(k == 1).select("n_nationkey"), "a", "b", 3)
+
+
+@query("SELECT DISTINCT r_name FROM region JOIN nation ON r_regionkey = n_nationkey % 4")
+def chapters_of_sections(spark, sf_dir):
+    chapters = _t(spark, sf_dir, "region").select("r_name", F.concat(F.lit("Chapter "), F.col("r_regionkey").cast("string"), F.lit(" "), "r_name").alias("chapter"))
+    sections = _t(spark, sf_dir, "nation").select(F.concat((F.col("n_nationkey") % 4).cast("string"), F.lit(".1."), "n_name").alias("section"))
+    return filters.chapters_of(chapters, sections).select("r_name")
+
+
+@query("SELECT n_name || '.h' AS header, CAST(1 AS INTEGER) AS line_no, n_name || '_SIZE' AS name, '(' || n_nationkey || ' << 2)' AS expr FROM nation")
+def header_defines(spark, sf_dir):
+    body = F.concat(F.lit("/* a #define in\na comment */#if 1\n#define "), "n_name", F.lit("_SIZE  ("), F.col("n_nationkey").cast("string"), F.lit(" << 2) // bytes\n#define MACRO(x) x\n"))
+    return cheader.defines(_t(spark, sf_dir, "nation").select(F.concat("n_name", F.lit(".h")).alias("header"), body.alias("text")))
+
+
+@query("SELECT n_name || '.h' AS header, n_name || '_SIZE' AS name, CAST(n_nationkey * 4 + 1 AS BIGINT) AS value FROM nation UNION ALL SELECT n_name || '.h', 'BASE', CAST(n_nationkey * 2 AS BIGINT) FROM nation")
+def header_values(spark, sf_dir):
+    k = F.col("n_nationkey").cast("string")
+    body = F.concat(F.lit("#define "), "n_name", F.lit("_SIZE ((BASE << 1) | 0x1UL)\n#define BASE ("), k, F.lit(" + "), k, F.lit(")\n"))
+    found = cheader.evaluated(cheader.defines(_t(spark, sf_dir, "nation").select(F.concat("n_name", F.lit(".h")).alias("header"), body.alias("text"))))
+    return found.select("header", "name", F.col("value").cast("bigint").alias("value"))
+
+
+@query("SELECT n_name AS name, unnest(['IRQ' || n_regionkey, 'IRQ' || n_nationkey || '_B']) AS item FROM nation")
+def xml_query(spark, sf_dir):
+    raw = F.concat(F.lit("<a xmlns='urn:x'><b n='IRQ"), F.col("n_regionkey").cast("string"), F.lit("'/><b n='IRQ"), F.col("n_nationkey").cast("string"), F.lit("_B'/><b n='IRQ"), F.col("n_regionkey").cast("string"), F.lit("'/></a>"))
+    return _t(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.explode(xml.query(xml.strip_namespace(raw), "/a/b/@n")).alias("item"))
+
+
+@query("""WITH m AS (SELECT l_orderkey AS did, l_linenumber AS y, avg(CAST(l_returnflag = 'R' AS INTEGER)) AS b FROM lineitem GROUP BY 1, 2)
+    SELECT CAST(did AS VARCHAR) AS table_id, CAST(coalesce(min(CASE WHEN b <= 0.3 THEN y END), max(y) + 1) AS INTEGER) AS header_rows FROM m GROUP BY did""")
+def bold_header_rows(spark, sf_dir):
+    rows = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("table_id"), F.col("l_linenumber").alias("y")).agg(F.avg((F.col("l_returnflag") == "R").cast("int")).alias("bold_share"))
+    return layout.header_rows(rows)
+
+
+@query("""WITH g AS (SELECT *, sum(CASE WHEN l_quantity - p > 2 THEN 1 ELSE 0 END) OVER (PARTITION BY l_orderkey ORDER BY l_quantity ROWS UNBOUNDED PRECEDING) AS number
+        FROM (SELECT l_orderkey, l_quantity, lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_quantity) AS p FROM (SELECT DISTINCT l_orderkey, l_quantity FROM lineitem)))
+    SELECT l_orderkey, CAST(number AS BIGINT) AS number, avg(l_quantity) AS l_quantity FROM g GROUP BY 1, 2""")
+def ruled_grid_lines(spark, sf_dir):
+    return layout.grid_lines(_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity").distinct(), "l_quantity", 2, ["l_orderkey"])
+
+
+@query("""SELECT l_orderkey, CAST(count(DISTINCT l_linenumber) AS BIGINT) AS n FROM lineitem GROUP BY 1""")
+def crosstab_widths(spark, sf_dir):
+    table = aggregates.cross_table(_t(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+    return table.groupBy("l_orderkey").agg(F.count("*").alias("n"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classify parts by first-match rules, coalesce the lines of each class into fields, and group orders of equal structure."""
     parts = devices_first_match(spark, sf_dir).withColumnRenamed("p_partkey", "l_partkey")

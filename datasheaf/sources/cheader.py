@@ -34,7 +34,7 @@ def without_comments(text: str = "text"):
 def defines(headers: DataFrame) -> DataFrame:
     """(header, line_no, name, expr) of object-like macros, in order."""
     lines = headers.select("header", F.posexplode(F.split(without_comments(), r"\r?\n")).alias("line_no", "line"))
-    pattern = r"^\s*#\s*define\s+(\w+)(?!\()\s*(.*?)\s*$"
+    pattern = r"^\s*#\s*define\s+(\w++)(?!\()\s*(.*?)\s*$"
     return lines.filter(F.col("line").rlike(pattern)).select("header", "line_no", F.regexp_extract("line", pattern, 1).alias("name"), F.regexp_extract("line", pattern, 2).alias("expr"))
 
 

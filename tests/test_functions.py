@@ -97,3 +97,7 @@ def test_vendor_rules(spark):
     assert [p.name for p in of("Pin:STM32F40x, STM32F41x:LQFP64 SMPS", text.packages("v"))] == ["LQFP64+SMPS+STM32F40.|STM32F41."]
     assert [of(d, text.hal_folder("v")) for d in ("stm32f407vgt6", "stm32h7r3", "stm32wb09")] == ["f4xx", "h7rsxx", "wb0x"]
     assert [of(d, text.memory_name("v")) for d in ("irom1", "x_eeprom.flm", "ccm")] == ["flash", "eeprom", "ccm"]
+
+
+def test_listify_keeps_digits(spark):
+    assert spark.createDataFrame([("00 11,/ 22<br>30 04",)], "v string").select(text.listify("v")).first()[0] == ["00", "11", "22", "30", "04"]

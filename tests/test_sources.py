@@ -101,3 +101,8 @@ def test_streaming(spark, data, tmp_path):
     assert spark.read.parquet(store).count() == 50
     out = sync.run_once(sync.sessions(sync.read_new_files(spark, str(src), events.schema), "ts", "2 hours", "1 day", "user_id"), "s", str(tmp_path / "cp2"), "append")
     assert out.columns == ["user_id", "start", "end", "n"]
+
+
+def test_macros_with_arguments_are_no_defines(spark):
+    df = spark.createDataFrame([("a.h", "#define MACRO(x) x\n#define ONE 1\n")], "header string, text string")
+    assert [r.name for r in cheader.defines(df).collect()] == ["ONE"]
