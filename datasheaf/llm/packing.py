@@ -7,8 +7,12 @@ documents most like it, which fill the window greedily. The one that doesn't fit
 is cut, and its rest opens the next window as the seed. Windows are full, but
 for the last of each partition.
 
+A document longer than a stretch is dealt as stretches that follow each other,
+so a row has a bounded size, and ranges of equal numbers of rows are of like
+numbers of tokens.
+
 Shuffles: one, of the token ids as 16-bit numbers, by ranges of (signature,
-document): one hot signature is split like any other stretch of the order. A
+document, start): one hot signature is split like any other part of the order. A
 worker holds one shard at a time, whatever the size of its partition.
 """
 
@@ -34,7 +38,10 @@ WINDOW = 1024
 END = 0
 #: A shard ends at either.
 SHARD_DOCS, SHARD_TOKENS = 2048, 1 << 21
-PARTITION_TOKENS = 1 << 23
+#: Most ids in a row of the shuffle.
+STRETCH = 1 << 13
+#: A partition holds about so many tokens; beyond so many partitions they grow instead.
+PARTITION_TOKENS, PARTITIONS = 1 << 22, 1 << 16
 QUERY_TERMS = 16
 K1, B = 1.2, 0.75
 PIECES = pa.schema([("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
@@ -137,28 +144,29 @@ class Packer:
         self.sequence, self.used, self.window = first, 0, window
         self.pieces: list[tuple[int, int, int, int, int, int, int]] = []
 
-    def put(self, key: int, ids: np.ndarray) -> None:
+    def put(self, key: int, ids: np.ndarray, start: int, doc_tokens: int) -> None:
         raw, n, at = memoryview(ids.astype("<u4").tobytes()), len(ids), 0
         while at < n:
             take = min(n - at, self.window - self.used)
-            self.pieces.append((key, at, take, zlib.crc32(raw[4 * at : 4 * (at + take)]), n, self.sequence, self.used))
+            self.pieces.append((key, start + at, take, zlib.crc32(raw[4 * at : 4 * (at + take)]), doc_tokens, self.sequence, self.used))
             at += take
             self.used += take
             if self.used == self.window:
                 self.sequence, self.used = self.sequence + 1, 0
 
-    def shard(self, docs: list[np.ndarray]) -> None:
-        """Put all documents: each window's opener is the seed of the search that fills it."""
+    def shard(self, docs: list[np.ndarray], places: list[tuple[int, int]] | None = None) -> None:
+        """Put all documents: each window's opener is the seed of the search that fills it. ``places`` are start and length of the document that each is a stretch of."""
+        places = places or [(0, len(d)) for d in docs]
         index = Shard(docs)
         while (seed := index.following()) is not None:
             index.take(seed)
-            self.put(seed, docs[seed])
+            self.put(seed, docs[seed], *places[seed])
             while self.used and seed is not None:
                 opener, seed = seed, None
                 for d in index.like(opener):
                     index.take(d)
                     before = self.sequence
-                    self.put(d, docs[d])
+                    self.put(d, docs[d], *places[d])
                     if self.sequence != before:  # the window is full; the rest of d opens the next
                         seed = d
                         break
@@ -182,36 +190,40 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, id_col: str = "d
             keys.append(signature(np.frombuffer(own, np.uint16)))
         return [pa.array(keys, pa.int64()), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
 
-    rows = staged(per_row(docs, [F.col(id_col).alias("doc_id")], F.col(text_col), tokenized, "signature bigint, doc_tokens bigint, ids binary"), "tokens")
-    total = rows.agg(F.sum("doc_tokens")).first()[0] or 0
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    n = max(1, -(-total // PARTITION_TOKENS), min(cores, total // SHARD_TOKENS))
-    tie = F.crc32("ids")
-    dealt = rows.withColumn("tie", tie).repartitionByRange(n, "signature", "doc_id", "tie").sortWithinPartitions("signature", "doc_id", "tie").select("doc_id", "ids")
+    rows = per_row(docs, [F.col(id_col).alias("doc_id")], F.col(text_col), tokenized, "signature bigint, doc_tokens bigint, ids binary")
+    cut = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("doc_tokens") - 1, F.lit(STRETCH).cast("bigint")), lambda x: F.struct(x.alias("start"), F.substring("ids", (2 * x + 1).cast("int"), F.lit(2 * STRETCH)).alias("ids")))
+    rows = rows.select("doc_id", "signature", "doc_tokens", F.crc32("ids").alias("tie"), F.explode(cut).alias("s"))
+    rows = staged(rows.select("doc_id", "signature", "tie", "doc_tokens", "s.start", "s.ids"), "tokens")
+    total = rows.filter("start = 0").agg(F.sum("doc_tokens")).first()[0] or 0
+    n = min(PARTITIONS, max(1, -(-total // PARTITION_TOKENS)))
+    order = ["signature", "doc_id", "tie", "start"]
+    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "start", "doc_tokens", "ids")
     schema = f"{dealt.select('doc_id')._jdf.schema().toDDL()}, " + ", ".join(f"{f.name} bigint" for f in PIECES)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(TaskContext.get().partitionId() << 40, window)
         held_ids: list[pa.Array] = []
         docs: list[np.ndarray] = []
+        places: list[tuple[int, int]] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
             packer.pieces = []
-            packer.shard(docs)
+            packer.shard(docs, places)
             columns = list(zip(*packer.pieces, strict=True))
             keys = pa.concat_arrays(held_ids).take(pa.array(columns[0], pa.int64()))
             return pa.RecordBatch.from_arrays([keys, *(pa.array(c, pa.int64()) for c in columns[1:])], names=["doc_id", *PIECES.names])
 
         for batch in batches:
-            raw = batch.column(1)
-            for i in range(batch.num_rows):
+            raw, at = batch.column(3), zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            for i, place in enumerate(at):
                 docs.append(np.frombuffer(raw[i].as_py(), np.uint16))
+                places.append(place)
                 held_ids.append(batch.column(0).slice(i, 1))
                 size += len(docs[-1])
                 if len(docs) >= SHARD_DOCS or size >= SHARD_TOKENS:
                     yield flush()
-                    held_ids, docs, size = [], [], 0
+                    held_ids, docs, places, size = [], [], [], 0
         if docs:
             yield flush()
 

@@ -28,7 +28,9 @@ def check(rows, texts, window):
     return wanted
 
 
-def test_documents(spark, documents):
+@pytest.mark.parametrize("stretch", [packing.STRETCH, 100])
+def test_documents(spark, documents, monkeypatch, stretch):
+    monkeypatch.setattr(packing, "STRETCH", stretch)
     texts = {r.doc_id: r.text for r in documents.collect()}
     rows = packing.pack(documents, PATH).collect()
     check(rows, texts.values(), 1024)
@@ -41,7 +43,9 @@ def test_documents(spark, documents):
         assert at == len(ids)
 
 
-def test_edges(edges, nothing):
+@pytest.mark.parametrize("stretch", [packing.STRETCH, 3])
+def test_edges(edges, nothing, monkeypatch, stretch):
+    monkeypatch.setattr(packing, "STRETCH", stretch)
     check(packing.pack(edges, PATH).collect(), [r.text for r in edges.collect()], 1024)
     assert packing.pack(nothing, PATH).count() == 0
 
