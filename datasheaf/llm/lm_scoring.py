@@ -6,20 +6,24 @@ that all contexts share as their parent, whose base is uniform over the known
 words and one unknown. Gibbs sweeps seat the customers anew, and the predictive
 probabilities of the sweeps after ``BURN_IN`` are averaged.
 
-The context of a token is the word before it. A word has a restaurant of its own
-if training texts hold it often enough: so many times that the number of
-restaurants grows as the square root of the corpus (``least_count``). All rarer
-words share one, and so do the starts of documents. Words are counted exactly.
-
-How it is distributed. Words are dealt to buckets by a hash. A bucket holds all
-that is counted of its words: their counts, their customers and tables in every
-context, and their customers and tables in the parent. So a sweep needs no
-exchange between buckets but the totals of each context, which are summed after
-it. One customer always sits at one table, so only dishes of two or more are
-carried from sweep to sweep. Documents are read in chunks; a chunk asks each
-bucket once for each distinct (word, context) it holds and gets the answers as
-arrays. What crosses the network are these packed arrays, not tokens. Draws
-depend on (bucket, sweep) alone, so a recomputed task gives the same seating.
+The context of a token is the word before it, and the end of the text before
+stands for the start of a text. Every word has a restaurant of its own, whatever
+the size of the corpus; score() takes a bound below which words share one.
+
+How it is distributed. Words are dealt to buckets by ranges of their hash. A
+bucket holds all that is counted of its words: their counts, their customers and
+tables in every context, and their customers and tables in the parent. It also
+owns the restaurants of its words. A restaurant has as many tables as customers,
+but for those that the dishes of two or more customers save; so a sweep
+exchanges, of the contexts that have such dishes, only the savings: each bucket
+sends its part to the owner and gets the sum back. Documents are read in chunks,
+which become arrays of numbers; a chunk asks each bucket once for its distinct
+words and pairs (word, context). A bucket answers with the words' probabilities
+in the parent, the weight their restaurants give to the parent, and the share of
+each pair that is its own; the chunk puts them together. Words are told apart by
+their bytes, contexts by 56 bits of hash (two words that share them would share
+a restaurant). Draws depend on (bucket, sweep) alone,
+so a recomputed task gives the same seating.
 """
 
 from __future__ import annotations
@@ -34,23 +38,26 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from datasheaf.llm._common import staged
 
-#: A word has a restaurant from so many training occurrences: the square root of the training bytes over this, 2 at least.
+#: For least_count() alone, which score() doesn't use.
 SCALE = 200
 #: Contexts that aren't words.
 START, RARE, FIRST_WORD = 0, 1, 2
-CHUNK_TOKENS, BUCKET_TOKENS = 1 << 20, 1 << 21
+CHUNK_TOKENS, BUCKET_TOKENS, TOKEN_BYTES = 1 << 20, 1 << 21, 6
 BURN_IN, SAMPLES = 1, 3
 STRENGTH = 1.0
 #: Customers of a dish up to which the weights of all numbers of tables come from one table; beyond, from a series or a saddle point.
 EXACT = 1024
-#: Log probabilities travel as multiples of this, in 16 bits.
-STEP = 1 / 2048
+#: Log probabilities travel as multiples of this, in 16 bits; those of whole weights as multiples of the finer one.
+STEP, FINE = 1 / 2048, 1 / 4096
+#: Bits of hash that tell contexts apart.
+HASH_BITS = 56
 END = b""  # no word is empty
 
 
@@ -281,7 +288,7 @@ class Bucket:
 
 
 def least_count(n_bytes: int) -> int:
-    """Occurrences from which a word has a restaurant: there are SCALE * sqrt(n_bytes) such words at most, far fewer as words are distributed."""
+    """A bound for score() that leaves SCALE * sqrt(n_bytes) restaurants at most, far fewer as words are distributed."""
     return max(2, math.ceil(math.sqrt(n_bytes) / SCALE))
 
 
@@ -546,20 +553,7 @@ def answers(state: DataFrame, shape: Shape, burn_in: int) -> DataFrame:
     return state.mapInArrow(run, ANSWER)
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int | None = None, burn_in: int = BURN_IN, samples: int = SAMPLES) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity.
-
-    Documents whose crc32(doc_id as text) mod 7 is 2 are held out; the others
-    train. A null id counts as the empty text; a null text is an empty one and
-    has one token, the end. base_score is the add-one unigram model's log10
-    probability, score the process's. ``least``: occurrences from which a word
-    has a restaurant, see least_count(). Repeated rows stay and train as often;
-    other columns aren't read; an empty table gives no rows.
-    """
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id_col).alias("doc_id"), (F.crc32(key) % 7 == 2).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"))
-    if least is None:
-        least = least_count(rows.filter(~F.col("held_out")).agg(F.sum(F.octet_length("body"))).first()[0] or 0)
+def _score_listed(rows: DataFrame, least: int, burn_in: int, samples: int) -> DataFrame:
     contexts, n_train = context_words(rows, least)
     n_contexts = FIRST_WORD + len(contexts)
     n_buckets = max(1, -(-n_train // BUCKET_TOKENS))
@@ -590,3 +584,390 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
         return pa.table([*(own.column(n) for n in ("doc_id", "held_out", "n_tokens")), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
 
     return both.groupBy("chunk").applyInArrow(of_chunk, schema)
+
+
+# ---- every word a context ---------------------------------------------------
+
+
+def _squeezed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _whole(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers, none negative, by planes of their bytes, compressed."""
+    x = np.ascontiguousarray(numbers).astype("<u8")
+    n_planes = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
+    return bytes([n_planes]) + len(x).to_bytes(8, "little") + _squeezed(x.view(np.uint8).reshape(-1, 8)[:, :n_planes].T.tobytes())
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    n_planes, n = raw[0], int.from_bytes(raw[1:9], "little")
+    x = np.zeros((n, 8), np.uint8)
+    x[:, :n_planes] = np.frombuffer(_whole(raw[9:]), np.uint8).reshape(n_planes, n).T
+    return x.view("<u8").ravel().view(np.int64)
+
+
+def _pack_steps(numbers: np.ndarray) -> bytes:
+    """Differences, the signs in their last bits: small where numbers rise."""
+    steps = np.diff(numbers.astype(np.int64), prepend=0)
+    return _pack(steps << 1 ^ steps >> 63)
+
+
+def _unpack_steps(raw: bytes) -> np.ndarray:
+    steps = _unpack(raw)
+    return np.cumsum(steps >> 1 ^ -(steps & 1))
+
+
+def _hashed(words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The words in the order of their hashes, these, and the order."""
+    hashes = (np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+    order = np.argsort(hashes, kind="stable")
+    if (hashes[order][1:] == hashes[order][:-1]).any():
+        order = np.array(sorted(range(len(words)), key=lambda i: (hashes[i], words[i])))
+    return [words[i] for i in order.tolist()], hashes[order], order
+
+
+def _owner(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
+    """The bucket of each hash; it rises with the hash."""
+    return (hashes >> HASH_BITS - 32) * n_buckets >> 32
+
+
+def _dealt(rows: DataFrame, by: str, n_buckets: int):
+    """Grouped, in a fixed number of tasks: packed arrays are small, so AQE would put too many buckets in one."""
+    return rows.repartition(2 * n_buckets, by).groupBy(by)
+
+
+def _table(rows: list[dict], schema: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary())}
+    return pa.Table.from_pylist(rows, pa.schema([(n, kinds[k]) for n, k in (x.split(" ") for x in schema.split(", "))]))
+
+
+def _before(flat: np.ndarray) -> np.ndarray:
+    """The context of each token: the one before it, and the end of a text, which is the last token too, before a text."""
+    return np.roll(flat, 1)
+
+
+def _pairs(flat: np.ndarray, n_words: int) -> np.ndarray:
+    """(word, context) of each token as one number."""
+    return flat * n_words + _before(flat)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """For each chunk: a row for each document, with its place, and one (place null) with the chunk's distinct words in the order of their hashes, all tokens as numbers of these, and the tokens of each document, twice that and one more if it trains."""
+    key = rows.select("doc_id")
+    key_type = key.schema[0].dataType
+    schema = f"chunk bigint, place bigint, {key._jdf.schema().toDDL()}, held_out boolean, n_tokens bigint, words binary, tokens binary, lengths binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        names = ["chunk", "place", "doc_id", "held_out", "n_tokens", "words", "tokens", "lengths"]
+        kinds = [pa.int64(), pa.int64(), to_arrow_type(key_type), pa.bool_(), pa.int64(), *[pa.binary()] * 3]
+        chunk = TaskContext.get().partitionId() << 32
+        local: dict[bytes, int] = {}
+        ids: list[np.ndarray] = []
+        keys: list = []
+        held: list[bool] = []
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            words, _, order = _hashed(list(local))
+            rank = np.empty(len(words), np.int64)
+            rank[order] = np.arange(len(words))
+            lengths, n = np.fromiter(map(len, ids), np.int64, len(ids)), len(ids)
+            whole = _squeezed(b"\n".join(words)), _pack(rank[np.concatenate(ids)]), _pack(lengths << 1 | ~np.array(held))
+            for row in (([chunk] * n, range(n), keys, held, lengths, *[[None] * n] * 3), ([chunk], [None], [None], [None], [None], *([x] for x in whole))):
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=names)
+
+        for batch in batches:
+            for k, h, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                words = tokens(text)
+                number = local.setdefault
+                ids.append(np.array([number(w, len(local)) for w in words], np.int32))
+                keys.append(k)
+                held.append(h)
+                size += len(words)
+                if size >= CHUNK_TOKENS:
+                    yield from flush()
+                    chunk, size = chunk + 1, 0
+                    local, ids, keys, held = {}, [], [], []
+        if ids:
+            yield from flush()
+
+    return rows.select("doc_id", "held_out", "body").mapInArrow(run, schema)
+
+
+def asked_by(chunks: DataFrame, n_buckets: int) -> DataFrame:
+    """What each chunk asks of each bucket: its distinct words and pairs, with their training counts."""
+    schema = f"chunk bigint, bucket int, {ASKED}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, hashes, _ = _hashed(_whole(row["words"]).split(b"\n"))
+                flat, lengths, n_words = _unpack(row["tokens"]), _unpack(row["lengths"]), len(words)
+                pairs = _pairs(flat, n_words) << 1 | np.repeat(lengths & 1, lengths >> 1)
+                pairs.sort()
+                training, pairs = pairs & 1, pairs >> 1
+                first = np.flatnonzero(np.diff(pairs, prepend=-1))
+                customers = np.add.reduceat(training, first)
+                word, context = np.divmod(pairs[first], n_words)
+                per_word = np.bincount(word, minlength=n_words)
+                owners, edges = _owner(hashes, n_buckets), np.concatenate(([0], np.cumsum(per_word)))
+                bounds = np.flatnonzero(np.diff(owners, prepend=-1)).tolist()
+                for a, b in zip(bounds, [*bounds[1:], n_words], strict=True):
+                    x, y = edges[a], edges[b]
+                    asked = {"words": _squeezed(b"\n".join(words[a:b])), "per_word": _pack(per_word[a:b]), "contexts": _pack_steps(hashes[context[x:y]]), "customers": _pack(customers[x:y])}
+                    yield from _table([{"chunk": row["chunk"], "bucket": int(owners[a])} | asked], schema).to_batches()
+
+    return chunks.filter("place is null").select("chunk", "words", "tokens", "lengths").mapInArrow(run, schema)
+
+
+FIGURES = ("tokens", "vocabulary", "pairs_1", "pairs_2", "words_1", "words_2")
+MERGED = "bucket int, " + ", ".join(f"{x} bigint" for x in FIGURES) + ", counts binary, hashes binary, per_word binary, customers binary, needed binary, context binary, chunks array<bigint>, asked_words array<binary>, asked_pairs array<binary>"
+
+
+def merge_asked(asked: pa.Table) -> pa.Table:
+    """Sum the chunks' counts of one bucket; keep where each chunk's words and pairs are among the bucket's, and the contexts of dishes of two or more."""
+    asked = asked.sort_by("chunk")
+    column = {n: asked.column(n).to_pylist() for n in ("words", "per_word", "contexts", "customers")}
+    lists = [_whole(w).split(b"\n") for w in column["words"]]
+    ordered, hashes, _ = _hashed(list(set().union(*lists)))
+    place = {w: i for i, w in enumerate(ordered)}
+    words = [np.fromiter(map(place.__getitem__, x), np.int64, len(x)) for x in lists]
+    del lists, place
+    contexts, at = np.unique(np.concatenate([_unpack_steps(x) for x in column["contexts"]]), return_inverse=True)
+    keys = [np.repeat(w, _unpack(n)) for w, n in zip(words, column["per_word"], strict=True)]
+    pairs, at = np.unique(np.concatenate(keys) << 32 | at, return_inverse=True)
+    customers = np.bincount(at, np.concatenate([_unpack(x) for x in column["customers"]]), len(pairs)).astype(np.int64)
+    spots = np.split(at, np.cumsum([len(k) for k in keys])[:-1])
+    word, several = pairs >> 32, customers > 1
+    used, context = np.unique(pairs[several] & 0xFFFFFFFF, return_inverse=True)
+    counts, parents = (np.bincount(word, x, len(ordered)).astype(np.int64) for x in (customers, customers > 0))
+    row = {"bucket": asked.column("bucket")[0].as_py(), "tokens": int(counts.sum()), "vocabulary": int((counts > 0).sum())}
+    row |= {f"{n}_{k}": int((x == k).sum()) for n, x in (("pairs", customers), ("words", parents)) for k in (1, 2)}
+    row |= {"counts": _pack(counts), "hashes": _pack_steps(hashes), "per_word": _pack(np.bincount(word, minlength=len(ordered))), "customers": _pack(customers), "needed": _pack_steps(contexts[used]), "context": _pack_steps(context)}
+    row |= {"chunks": asked.column("chunk").to_pylist(), "asked_words": [_pack_steps(w) for w in words], "asked_pairs": [_pack_steps(s) for s in spots]}
+    return _table([row], MERGED)
+
+
+def _by_hash(hashes: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Sums of the values by hash, for each wanted hash, all of which occur."""
+    distinct, at = np.unique(hashes, return_inverse=True)
+    return np.bincount(at, values, len(distinct)).astype(np.int64)[np.searchsorted(distinct, wanted)]
+
+
+OWNED = "bucket int, sender int, kind string, place binary, held binary, hashes binary"
+
+
+def owned(state: DataFrame, n_buckets: int) -> DataFrame:
+    """Each bucket asks the owners for the contexts it needs. Rows to it from each owner: their places there and numbers of customers; and to the owner itself (kind owned) the hashes of its places."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                needed = _unpack_steps(row["needed"])
+                out = [{"bucket": row["bucket"], "sender": -1, "hashes": row["hashes"], "counts": row["counts"]}]
+                owners = _owner(needed, n_buckets)
+                for part in np.split(np.arange(len(needed)), np.flatnonzero(np.diff(owners)) + 1) if len(needed) else []:
+                    out.append({"bucket": int(owners[part[0]]), "sender": row["bucket"], "hashes": _pack_steps(needed[part])})
+                yield from _table(out, "bucket int, sender int, hashes binary, counts binary").to_batches()
+
+    def answer(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        own = next(r for r in rows if r["sender"] < 0)
+        asked = [(r["sender"], _unpack_steps(r["hashes"])) for r in rows if r["sender"] >= 0]
+        places = np.unique(np.concatenate([np.zeros(0, np.int64), *(x for _, x in asked)]))
+        held = _by_hash(_unpack_steps(own["hashes"]), _unpack(own["counts"]), places)
+        out = [{"bucket": own["bucket"], "sender": -1, "kind": "owned", "hashes": _pack_steps(places)}]
+        for sender, x in asked:
+            at = np.searchsorted(places, x)
+            out.append({"bucket": sender, "sender": own["bucket"], "kind": "reply", "place": _pack_steps(at), "held": _pack(held[at])})
+        return _table(out, OWNED)
+
+    asked = state.select("bucket", "hashes", "counts", "needed").mapInArrow(ask, "bucket int, sender int, hashes binary, counts binary")
+    return staged(_dealt(asked, "bucket", n_buckets).applyInArrow(answer, OWNED), "owned")
+
+
+#: What a bucket carries from sweep to sweep, and what it sends to owners (kind saved): places, and customers less tables in them.
+CARRIED = ("single", "word", "context", "customers", "tables", "parent_tables", "owners", "lengths", "places", "held")
+POST = "bucket int, sender int, kind string, parent_customers_sum bigint, parent_tables_sum bigint, place binary, saved binary, " + ", ".join(f"{x} binary" for x in CARRIED)
+
+
+def _posted(seats: Seats, owners: np.ndarray, lengths: np.ndarray, places: np.ndarray, held: np.ndarray) -> pa.Table:
+    saved = np.bincount(seats.context, seats.customers - seats.tables, len(places)).astype(np.int64)
+    fields = {n: _pack(getattr(seats, n)) for n in ("single", "customers", "tables", "parent_tables")}
+    fields |= {n: _pack_steps(getattr(seats, n)) for n in ("word", "context")} | {"owners": _pack(owners), "lengths": _pack(lengths), "places": _pack_steps(places), "held": _pack(held)}
+    out = [{"bucket": seats.number, "kind": "seats", "parent_customers_sum": int(seats.parent_customers.sum()), "parent_tables_sum": int(seats.parent_tables.sum())} | fields]
+    at = 0
+    for owner, n in zip(owners.tolist(), lengths.tolist(), strict=True):
+        out.append({"bucket": owner, "sender": seats.number, "kind": "saved", "place": _pack_steps(places[at : at + n]), "saved": _pack(saved[at : at + n])})
+        at += n
+    return _table(out, POST)
+
+
+def first_seats(state: DataFrame, replies: DataFrame, n_buckets: int) -> DataFrame:
+    """The seats before the first sweep: one table for each dish."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        row = next(r for r in rows if r["kind"] is None)
+        found = sorted((r for r in rows if r["kind"] == "reply"), key=lambda r: r["sender"])
+        customers, per_word = _unpack(row["customers"]), _unpack(row["per_word"])
+        word = np.repeat(np.arange(len(per_word)), per_word)
+        seats = Seats(row["bucket"], np.bincount(word[customers == 1], minlength=len(per_word)), word[customers > 1], _unpack_steps(row["context"]), customers[customers > 1])
+        places, held = ([f(r[n]) for r in found] for n, f in (("place", _unpack_steps), ("held", _unpack)))
+        none = [np.zeros(0, np.int64)]
+        return _posted(seats, np.array([r["sender"] for r in found], np.int64), np.array([len(x) for x in places], np.int64), np.concatenate(none + places), np.concatenate(none + held))
+
+    both = state.select("bucket", "per_word", "customers", "context").unionByName(replies.filter("kind = 'reply'").drop("hashes"), allowMissingColumns=True)
+    return staged(_dealt(both, "bucket", n_buckets).applyInArrow(run, POST), "seats")
+
+
+SUMS = "bucket int, sender int, kind string, saved binary"
+
+
+def saved_sums(post: DataFrame, n_buckets: int) -> DataFrame:
+    """What each owner's restaurants save in all buckets: back to each sender, and to the owner itself (kind owned)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = [(r["bucket"], r["sender"], _unpack_steps(r["place"]), _unpack(r["saved"])) for r in table.to_pylist()]
+        total = np.bincount(np.concatenate([p for _, _, p, _ in rows]), np.concatenate([s for _, _, _, s in rows])).astype(np.int64)
+        out = [{"bucket": rows[0][0], "kind": "owned", "saved": _pack(total)}]
+        return _table(out + [{"bucket": sender, "sender": bucket, "kind": "sum", "saved": _pack(total[p])} for bucket, sender, p, _ in rows], SUMS)
+
+    return staged(_dealt(post.filter("kind = 'saved'").select("bucket", "sender", "place", "saved"), "bucket", n_buckets).applyInArrow(run, SUMS), "saved")
+
+
+def swept(post: DataFrame, sums: DataFrame, number: int, shape: Shape, at: tuple[float, float], n_buckets: int) -> DataFrame:
+    """The seats after one more sweep."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        row = next(r for r in rows if r["kind"] == "seats")
+        saved = [_unpack(r["saved"]) for r in sorted((r for r in rows if r["kind"] == "sum"), key=lambda r: r["sender"])]
+        owners, lengths, held = (_unpack(row[n]) for n in ("owners", "lengths", "held"))
+        seats = Seats(row["bucket"], _unpack(row["single"]), *(_unpack_steps(row[n]) for n in ("word", "context")), *(_unpack(row[n]) for n in ("customers", "tables", "parent_tables")))
+        totals = Totals(held - np.concatenate([np.zeros(0, np.int64), *saved]), *at)
+        seats.sweep(number, Shape(held, shape.vocabulary, shape.discount, shape.parent_discount, [totals] * (number + 1)))
+        return _posted(seats, owners, lengths, _unpack_steps(row["places"]), held)
+
+    both = post.filter("kind = 'seats'").select("bucket", "sender", "kind", *CARRIED).unionByName(sums.filter("kind = 'sum'"), allowMissingColumns=True)
+    return staged(_dealt(both, "bucket", n_buckets).applyInArrow(run, POST), "seats")
+
+
+def _logs(p: np.ndarray) -> bytes:
+    return _pack(np.clip(np.round(-np.log10(p) / FINE), 0, 65535))
+
+
+ANSWERED = "chunk bigint, bucket int, counts binary, sharing binary, parents array<binary>, backs array<binary>, own binary"
+
+
+def answered(parts: DataFrame, shape: Shape, at: dict[int, tuple[float, float]], n_buckets: int) -> DataFrame:
+    """For each chunk and bucket: its words' training counts, and those of others that share their hash; in each sampled sweep their probability in the parent, and the weight of the parent in their own restaurants; and the mean over the sweeps of the customers of its pairs less the discounts."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        row = next(r for r in rows if r["kind"] is None)
+        counts, customers, per_word, hashes = _unpack(row["counts"]), _unpack(row["customers"]), _unpack(row["per_word"]), _unpack_steps(row["hashes"])
+        several, word = customers > 1, np.repeat(np.arange(len(per_word)), per_word)
+        single = np.bincount(word[customers == 1], minlength=len(per_word))
+        held = _by_hash(hashes, counts, hashes)
+        places = _unpack_steps(next(r for r in rows if r["kind"] == "places")["hashes"])
+        tables, parents, backs = np.zeros(int(several.sum())), [], []
+        for sweep, (c, t) in at.items():
+            of = next(r for r in rows if r["kind"] == "seats" and r["sender"] == sweep)
+            now = Seats(row["bucket"], single, word[several], _unpack_steps(row["context"]), customers[several], _unpack(of["tables"]), _unpack(of["parent_tables"]))
+            tables += now.tables
+            parents.append(now.parent(shape, Totals(None, c, t)))
+            kept = held.copy()
+            for r in (r for r in rows if r["kind"] == "owned" and r["sender"] == sweep):
+                near = np.minimum(np.searchsorted(places, hashes), len(places) - 1)
+                kept -= np.where(places[near] == hashes, _unpack(r["saved"])[near], 0)
+            backs.append((STRENGTH + shape.discount * kept) / (STRENGTH + held))
+        own = (customers == 1) * (1 - shape.discount)
+        own[several] = customers[several] - shape.discount * tables / len(at)
+        # log10(own) is over -2 and under 13
+        own = np.where(own > 0, np.round((np.log10(np.maximum(own, 0.01)) + 2) / FINE) + 1, 0)
+        out = []
+        for chunk, words, pairs in zip(row["chunks"], row["asked_words"], row["asked_pairs"], strict=True):
+            w = _unpack_steps(words)
+            out.append({"chunk": chunk, "bucket": row["bucket"], "counts": _pack(counts[w]), "sharing": _pack((held - counts)[w]), "parents": [_logs(p[w]) for p in parents], "backs": [_logs(b[w]) for b in backs], "own": _pack(own[_unpack_steps(pairs)])})
+        return _table(out, ANSWERED)
+
+    return _dealt(parts, "bucket", n_buckets).applyInArrow(run, ANSWERED)
+
+
+def _score_every(rows: DataFrame, burn_in: int, samples: int) -> DataFrame:
+    if samples < 1:
+        raise ValueError("at least one sweep must be sampled")
+    n_bytes = rows.filter(~F.col("held_out")).agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    n_buckets = max(1, -(-n_bytes // (TOKEN_BYTES * BUCKET_TOKENS)))
+    chunks = staged(numbered(rows), "chunks")
+    state = staged(_dealt(asked_by(chunks, n_buckets), "bucket", n_buckets).applyInArrow(merge_asked, MERGED), "buckets")
+    one = {n: v or 0 for n, v in state.agg(*(F.sum(n).alias(n) for n in FIGURES)).first().asDict().items()}
+    n_train = one["tokens"]
+    shape = Shape(np.zeros(0), one["vocabulary"], _discount(one["pairs_1"], one["pairs_2"]), _discount(one["words_1"], one["words_2"]))
+
+    def sums_of(post: DataFrame) -> tuple[float, float]:
+        found = post.filter("kind = 'seats'").agg(F.sum("parent_customers_sum"), F.sum("parent_tables_sum")).first()
+        return found[0] or 0, found[1] or 0
+
+    places = owned(state, n_buckets)
+    post = first_seats(state, places, n_buckets)
+    parts = state.select("bucket", "counts", "hashes", "per_word", "customers", "context", "chunks", "asked_words", "asked_pairs", F.lit(None).cast("string").alias("kind"), F.lit(None).cast("int").alias("sender"))
+    parts = parts.unionByName(places.filter("kind = 'owned'").select("bucket", "hashes", F.lit("places").alias("kind")), allowMissingColumns=True)
+    sums, at, sampled = saved_sums(post, n_buckets), sums_of(post), {}
+    for n in range(burn_in + samples):
+        post = swept(post, sums, n, shape, at, n_buckets)
+        sums, at = saved_sums(post, n_buckets), sums_of(post)
+        if n >= burn_in:
+            sampled[n] = at
+            parts = parts.unionByName(post.filter("kind = 'seats'").select("bucket", "kind", F.lit(n).alias("sender"), "tables", "parent_tables"), allowMissingColumns=True)
+            parts = parts.unionByName(sums.filter("kind = 'owned'").select("bucket", "kind", F.lit(n).alias("sender"), "saved"), allowMissingColumns=True)
+
+    base = float(np.log10(n_train + shape.vocabulary + 1))
+    own = chunks.select("chunk", "place", "doc_id", "held_out", "n_tokens", "tokens")
+    both = own.unionByName(answered(parts, shape, sampled, n_buckets), allowMissingColumns=True)
+    schema = f"{own.select('doc_id')._jdf.schema().toDDL()}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double"
+
+    def of_chunk(table: pa.Table) -> pa.Table:
+        docs = table.filter(pa.compute.is_valid(table.column("place"))).sort_by("place")
+        flat = _unpack(next(x for x in table.column("tokens").to_pylist() if x is not None))
+        got = table.filter(pa.compute.is_valid(table.column("bucket"))).sort_by("bucket").drop_columns(["doc_id", "tokens"]).to_pylist()
+        counts, held = (np.concatenate([_unpack(r[n]) for r in got]) for n in ("counts", "sharing"))
+        held, before = held + counts, _before(flat)
+        own = np.concatenate([_unpack(r["own"]) for r in got])
+        own = np.where(own > 0, 10 ** ((own - 1) * FINE - 2), 0)[np.unique(_pairs(flat, len(counts)), return_inverse=True)[1]]
+        p = own / (STRENGTH + held[before])
+        for i in range(samples):
+            parent, back = (10 ** (np.concatenate([_unpack(r[n][i]) for r in got]) * -FINE) for n in ("parents", "backs"))
+            p += back[before] * parent[flat] / samples
+        lengths = np.array(docs.column("n_tokens").to_pylist(), np.int64)
+        starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+        known, plus_one, logs = (np.add.reduceat(x, starts) for x in ((counts > 0).astype(np.int64)[flat], np.log10(counts + 1.0)[flat], np.minimum(np.log10(p), 0)))
+        columns = known, np.full(len(lengths), n_train), plus_one - base * lengths, logs, 10 ** np.minimum(300.0, -logs / lengths)
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+        return pa.table([*(docs.column(n) for n in ("doc_id", "held_out", "n_tokens")), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
+
+    return _dealt(both, "chunk", n_buckets).applyInArrow(of_chunk, schema)
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int | None = None, burn_in: int = BURN_IN, samples: int = SAMPLES) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity.
+
+    Documents whose crc32(doc_id as text) mod 7 is 2 are held out; the others
+    train. A null id counts as the empty text; a null text is an empty one and
+    has one token, the end. base_score is the add-one unigram model's log10
+    probability, score the process's. ``least``: occurrences from which a word
+    has a restaurant; rarer ones then share one, and the list of the others has
+    to fit the driver. By default every word has one. Repeated rows stay and
+    train as often; other columns aren't read; an empty table gives no rows.
+    """
+    key = F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")
+    rows = docs.select(F.col(id_col).alias("doc_id"), (F.crc32(key) % 7 == 2).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"))
+    return _score_every(rows, burn_in, samples) if least is None else _score_listed(rows, least, burn_in, samples)

@@ -193,3 +193,40 @@ def test_probabilities_sum_to_one(spark, documents):
         back = (lm_scoring.STRENGTH + shape.discount * t) / (lm_scoring.STRENGTH + c)
         own = np.where(b.context == u, np.maximum(b.customers - shape.discount * b.tables(), 0), 0).sum() / (lm_scoring.STRENGTH + c)
         assert abs(own + back * (p.sum() + unknown) - 1) < 1e-9
+
+
+def test_scores_do_not_depend_on_a_bound_by_size(documents, monkeypatch):
+    """A bound that grows with the corpus would leave few of these words a restaurant; every word has one."""
+    few = documents.limit(80).cache()
+    wanted = {r.doc_id: r.score for r in lm_scoring.score(few).collect()}
+    monkeypatch.setattr(lm_scoring, "SCALE", 1)
+    assert {r.doc_id: r.score for r in lm_scoring.score(few).collect()} == wanted
+
+
+def test_every_word_is_a_context(spark, documents, monkeypatch):
+    """Restaurants dealt over many buckets and chunks, against all of them in one with their totals on the driver."""
+    few = documents.limit(150).coalesce(1).cache()
+    wanted = {r.doc_id: r for r in lm_scoring.score(few, least=1, samples=6).collect()}
+    monkeypatch.setattr(lm_scoring, "CHUNK_TOKENS", 5000)
+    monkeypatch.setattr(lm_scoring, "BUCKET_TOKENS", 10000)
+    got = {r.doc_id: r for r in lm_scoring.score(few, samples=6).collect()}
+    assert got.keys() == wanted.keys() and len({r.train_tokens for r in got.values()}) == 1
+    apart = [(got[k].score - w.score) / w.n_tokens for k, w in wanted.items() if w.n_tokens >= 40]  # shorter ones differ more by the draws
+    assert len(apart) > 100 and max(map(abs, apart)) < 0.02 and abs(sum(apart)) / len(apart) < 0.002, (min(apart), max(apart), sum(apart) / len(apart))
+
+
+def test_savings_of_contexts_are_summed(spark, documents, monkeypatch):
+    """Owners get, over all buckets, the customers less the tables of each of their words' restaurants."""
+    rows = documents.limit(60).select("doc_id", F.lit(False).alias("held_out"), F.coalesce("text", F.lit("")).cast("binary").alias("body"))
+    words = [lm_scoring.tokens(bytes(r.body)) for r in rows.collect()]
+    pairs = collections.Counter((u, w) for x in words for u, w in zip([b"", *x], x, strict=False))
+    saved = collections.Counter()
+    for (u, _), n in pairs.items():
+        saved[u] += n - 1  # one table for each dish
+    n_buckets = 5
+    state = lm_scoring._dealt(lm_scoring.asked_by(lm_scoring.numbered(rows.repartition(3)).cache(), n_buckets), "bucket", n_buckets).applyInArrow(lm_scoring.merge_asked, lm_scoring.MERGED).cache()
+    places = lm_scoring.owned(state, n_buckets)
+    sums = lm_scoring.saved_sums(lm_scoring.first_seats(state, places, n_buckets), n_buckets)
+    hashes = {r.bucket: lm_scoring._unpack_steps(r.hashes).tolist() for r in places.filter("kind = 'owned'").collect()}
+    got = {h: n for r in sums.filter("kind = 'owned'").collect() for h, n in zip(hashes[r.bucket], lm_scoring._unpack(r.saved).tolist(), strict=True)}
+    assert got == {lm_scoring.xxhash.xxh64_intdigest(u) >> 8: n for u, n in saved.items() if n}
