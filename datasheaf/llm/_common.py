@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,3 +73,39 @@ def per_row(df: DataFrame, keep: list[Column], text: Column, fn: Callable, schem
 
     new = [x.strip().split(" ")[0] for x in schema.split(",")]
     return df.select(*keep, F.coalesce(text, F.lit("")).cast("binary").alias("__text")).mapInArrow(run, out)
+
+
+# ---- arrays of numbers in a binary column --------------------------------------
+
+
+def squeeze(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unsqueeze(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Numbers, none negative, by planes of their bytes, compressed."""
+    x = np.ascontiguousarray(numbers).astype("<u8")
+    n_planes = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
+    return bytes([n_planes]) + len(x).to_bytes(8, "little") + squeeze(x.view(np.uint8).reshape(-1, 8)[:, :n_planes].T.tobytes())
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    n_planes, n = raw[0], int.from_bytes(raw[1:9], "little")
+    x = np.zeros((n, 8), np.uint8)
+    x[:, :n_planes] = np.frombuffer(unsqueeze(raw[9:]), np.uint8).reshape(n_planes, n).T
+    return x.view("<u8").ravel().view(np.int64)
+
+
+def pack_steps(numbers: np.ndarray) -> bytes:
+    """Signed numbers by their differences, the signs in the last bits: small where numbers rise."""
+    steps = np.diff(numbers.astype(np.int64), prepend=0)
+    return pack(steps << 1 ^ steps >> 63)
+
+
+def unpack_steps(raw: bytes) -> np.ndarray:
+    steps = unpack(raw)
+    return np.cumsum((steps.view(np.uint64) >> np.uint64(1)).view(np.int64) ^ -(steps & 1))

@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from datasheaf.llm._common import staged
+from datasheaf.llm._common import pack, pack_steps, squeeze, staged, unpack, unpack_steps, unsqueeze
 
 #: For least_count() alone, which score() doesn't use.
 SCALE = 200
@@ -589,39 +589,6 @@ def _score_listed(rows: DataFrame, least: int, burn_in: int, samples: int) -> Da
 # ---- every word a context ---------------------------------------------------
 
 
-def _squeezed(raw: bytes) -> bytes:
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
-
-
-def _whole(raw: bytes) -> bytes:
-    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
-
-
-def _pack(numbers: np.ndarray) -> bytes:
-    """Numbers, none negative, by planes of their bytes, compressed."""
-    x = np.ascontiguousarray(numbers).astype("<u8")
-    n_planes = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
-    return bytes([n_planes]) + len(x).to_bytes(8, "little") + _squeezed(x.view(np.uint8).reshape(-1, 8)[:, :n_planes].T.tobytes())
-
-
-def _unpack(raw: bytes) -> np.ndarray:
-    n_planes, n = raw[0], int.from_bytes(raw[1:9], "little")
-    x = np.zeros((n, 8), np.uint8)
-    x[:, :n_planes] = np.frombuffer(_whole(raw[9:]), np.uint8).reshape(n_planes, n).T
-    return x.view("<u8").ravel().view(np.int64)
-
-
-def _pack_steps(numbers: np.ndarray) -> bytes:
-    """Differences, the signs in their last bits: small where numbers rise."""
-    steps = np.diff(numbers.astype(np.int64), prepend=0)
-    return _pack(steps << 1 ^ steps >> 63)
-
-
-def _unpack_steps(raw: bytes) -> np.ndarray:
-    steps = _unpack(raw)
-    return np.cumsum(steps >> 1 ^ -(steps & 1))
-
-
 def _hashed(words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The words in the order of their hashes, these, and the order."""
     hashes = (np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
@@ -679,7 +646,7 @@ def numbered(rows: DataFrame) -> DataFrame:
             rank = np.empty(len(words), np.int64)
             rank[order] = np.arange(len(words))
             lengths, n = np.fromiter(map(len, ids), np.int64, len(ids)), len(ids)
-            whole = _squeezed(b"\n".join(words)), _pack(rank[np.concatenate(ids)]), _pack(lengths << 1 | ~np.array(held))
+            whole = squeeze(b"\n".join(words)), pack(rank[np.concatenate(ids)]), pack(lengths << 1 | ~np.array(held))
             for row in (([chunk] * n, range(n), keys, held, lengths, *[[None] * n] * 3), ([chunk], [None], [None], [None], [None], *([x] for x in whole))):
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names=names)
 
@@ -708,8 +675,8 @@ def asked_by(chunks: DataFrame, n_buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                words, hashes, _ = _hashed(_whole(row["words"]).split(b"\n"))
-                flat, lengths, n_words = _unpack(row["tokens"]), _unpack(row["lengths"]), len(words)
+                words, hashes, _ = _hashed(unsqueeze(row["words"]).split(b"\n"))
+                flat, lengths, n_words = unpack(row["tokens"]), unpack(row["lengths"]), len(words)
                 pairs = _pairs(flat, n_words) << 1 | np.repeat(lengths & 1, lengths >> 1)
                 pairs.sort()
                 training, pairs = pairs & 1, pairs >> 1
@@ -721,7 +688,7 @@ def asked_by(chunks: DataFrame, n_buckets: int) -> DataFrame:
                 bounds = np.flatnonzero(np.diff(owners, prepend=-1)).tolist()
                 for a, b in zip(bounds, [*bounds[1:], n_words], strict=True):
                     x, y = edges[a], edges[b]
-                    asked = {"words": _squeezed(b"\n".join(words[a:b])), "per_word": _pack(per_word[a:b]), "contexts": _pack_steps(hashes[context[x:y]]), "customers": _pack(customers[x:y])}
+                    asked = {"words": squeeze(b"\n".join(words[a:b])), "per_word": pack(per_word[a:b]), "contexts": pack_steps(hashes[context[x:y]]), "customers": pack(customers[x:y])}
                     yield from _table([{"chunk": row["chunk"], "bucket": int(owners[a])} | asked], schema).to_batches()
 
     return chunks.filter("place is null").select("chunk", "words", "tokens", "lengths").mapInArrow(run, schema)
@@ -735,23 +702,23 @@ def merge_asked(asked: pa.Table) -> pa.Table:
     """Sum the chunks' counts of one bucket; keep where each chunk's words and pairs are among the bucket's, and the contexts of dishes of two or more."""
     asked = asked.sort_by("chunk")
     column = {n: asked.column(n).to_pylist() for n in ("words", "per_word", "contexts", "customers")}
-    lists = [_whole(w).split(b"\n") for w in column["words"]]
+    lists = [unsqueeze(w).split(b"\n") for w in column["words"]]
     ordered, hashes, _ = _hashed(list(set().union(*lists)))
     place = {w: i for i, w in enumerate(ordered)}
     words = [np.fromiter(map(place.__getitem__, x), np.int64, len(x)) for x in lists]
     del lists, place
-    contexts, at = np.unique(np.concatenate([_unpack_steps(x) for x in column["contexts"]]), return_inverse=True)
-    keys = [np.repeat(w, _unpack(n)) for w, n in zip(words, column["per_word"], strict=True)]
+    contexts, at = np.unique(np.concatenate([unpack_steps(x) for x in column["contexts"]]), return_inverse=True)
+    keys = [np.repeat(w, unpack(n)) for w, n in zip(words, column["per_word"], strict=True)]
     pairs, at = np.unique(np.concatenate(keys) << 32 | at, return_inverse=True)
-    customers = np.bincount(at, np.concatenate([_unpack(x) for x in column["customers"]]), len(pairs)).astype(np.int64)
+    customers = np.bincount(at, np.concatenate([unpack(x) for x in column["customers"]]), len(pairs)).astype(np.int64)
     spots = np.split(at, np.cumsum([len(k) for k in keys])[:-1])
     word, several = pairs >> 32, customers > 1
     used, context = np.unique(pairs[several] & 0xFFFFFFFF, return_inverse=True)
     counts, parents = (np.bincount(word, x, len(ordered)).astype(np.int64) for x in (customers, customers > 0))
     row = {"bucket": asked.column("bucket")[0].as_py(), "tokens": int(counts.sum()), "vocabulary": int((counts > 0).sum())}
     row |= {f"{n}_{k}": int((x == k).sum()) for n, x in (("pairs", customers), ("words", parents)) for k in (1, 2)}
-    row |= {"counts": _pack(counts), "hashes": _pack_steps(hashes), "per_word": _pack(np.bincount(word, minlength=len(ordered))), "customers": _pack(customers), "needed": _pack_steps(contexts[used]), "context": _pack_steps(context)}
-    row |= {"chunks": asked.column("chunk").to_pylist(), "asked_words": [_pack_steps(w) for w in words], "asked_pairs": [_pack_steps(s) for s in spots]}
+    row |= {"counts": pack(counts), "hashes": pack_steps(hashes), "per_word": pack(np.bincount(word, minlength=len(ordered))), "customers": pack(customers), "needed": pack_steps(contexts[used]), "context": pack_steps(context)}
+    row |= {"chunks": asked.column("chunk").to_pylist(), "asked_words": [pack_steps(w) for w in words], "asked_pairs": [pack_steps(s) for s in spots]}
     return _table([row], MERGED)
 
 
@@ -770,23 +737,23 @@ def owned(state: DataFrame, n_buckets: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                needed = _unpack_steps(row["needed"])
+                needed = unpack_steps(row["needed"])
                 out = [{"bucket": row["bucket"], "sender": -1, "hashes": row["hashes"], "counts": row["counts"]}]
                 owners = _owner(needed, n_buckets)
                 for part in np.split(np.arange(len(needed)), np.flatnonzero(np.diff(owners)) + 1) if len(needed) else []:
-                    out.append({"bucket": int(owners[part[0]]), "sender": row["bucket"], "hashes": _pack_steps(needed[part])})
+                    out.append({"bucket": int(owners[part[0]]), "sender": row["bucket"], "hashes": pack_steps(needed[part])})
                 yield from _table(out, "bucket int, sender int, hashes binary, counts binary").to_batches()
 
     def answer(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         own = next(r for r in rows if r["sender"] < 0)
-        asked = [(r["sender"], _unpack_steps(r["hashes"])) for r in rows if r["sender"] >= 0]
+        asked = [(r["sender"], unpack_steps(r["hashes"])) for r in rows if r["sender"] >= 0]
         places = np.unique(np.concatenate([np.zeros(0, np.int64), *(x for _, x in asked)]))
-        held = _by_hash(_unpack_steps(own["hashes"]), _unpack(own["counts"]), places)
-        out = [{"bucket": own["bucket"], "sender": -1, "kind": "owned", "hashes": _pack_steps(places)}]
+        held = _by_hash(unpack_steps(own["hashes"]), unpack(own["counts"]), places)
+        out = [{"bucket": own["bucket"], "sender": -1, "kind": "owned", "hashes": pack_steps(places)}]
         for sender, x in asked:
             at = np.searchsorted(places, x)
-            out.append({"bucket": sender, "sender": own["bucket"], "kind": "reply", "place": _pack_steps(at), "held": _pack(held[at])})
+            out.append({"bucket": sender, "sender": own["bucket"], "kind": "reply", "place": pack_steps(at), "held": pack(held[at])})
         return _table(out, OWNED)
 
     asked = state.select("bucket", "hashes", "counts", "needed").mapInArrow(ask, "bucket int, sender int, hashes binary, counts binary")
@@ -800,12 +767,12 @@ POST = "bucket int, sender int, kind string, parent_customers_sum bigint, parent
 
 def _posted(seats: Seats, owners: np.ndarray, lengths: np.ndarray, places: np.ndarray, held: np.ndarray) -> pa.Table:
     saved = np.bincount(seats.context, seats.customers - seats.tables, len(places)).astype(np.int64)
-    fields = {n: _pack(getattr(seats, n)) for n in ("single", "customers", "tables", "parent_tables")}
-    fields |= {n: _pack_steps(getattr(seats, n)) for n in ("word", "context")} | {"owners": _pack(owners), "lengths": _pack(lengths), "places": _pack_steps(places), "held": _pack(held)}
+    fields = {n: pack(getattr(seats, n)) for n in ("single", "customers", "tables", "parent_tables")}
+    fields |= {n: pack_steps(getattr(seats, n)) for n in ("word", "context")} | {"owners": pack(owners), "lengths": pack(lengths), "places": pack_steps(places), "held": pack(held)}
     out = [{"bucket": seats.number, "kind": "seats", "parent_customers_sum": int(seats.parent_customers.sum()), "parent_tables_sum": int(seats.parent_tables.sum())} | fields]
     at = 0
     for owner, n in zip(owners.tolist(), lengths.tolist(), strict=True):
-        out.append({"bucket": owner, "sender": seats.number, "kind": "saved", "place": _pack_steps(places[at : at + n]), "saved": _pack(saved[at : at + n])})
+        out.append({"bucket": owner, "sender": seats.number, "kind": "saved", "place": pack_steps(places[at : at + n]), "saved": pack(saved[at : at + n])})
         at += n
     return _table(out, POST)
 
@@ -817,10 +784,10 @@ def first_seats(state: DataFrame, replies: DataFrame, n_buckets: int) -> DataFra
         rows = table.to_pylist()
         row = next(r for r in rows if r["kind"] is None)
         found = sorted((r for r in rows if r["kind"] == "reply"), key=lambda r: r["sender"])
-        customers, per_word = _unpack(row["customers"]), _unpack(row["per_word"])
+        customers, per_word = unpack(row["customers"]), unpack(row["per_word"])
         word = np.repeat(np.arange(len(per_word)), per_word)
-        seats = Seats(row["bucket"], np.bincount(word[customers == 1], minlength=len(per_word)), word[customers > 1], _unpack_steps(row["context"]), customers[customers > 1])
-        places, held = ([f(r[n]) for r in found] for n, f in (("place", _unpack_steps), ("held", _unpack)))
+        seats = Seats(row["bucket"], np.bincount(word[customers == 1], minlength=len(per_word)), word[customers > 1], unpack_steps(row["context"]), customers[customers > 1])
+        places, held = ([f(r[n]) for r in found] for n, f in (("place", unpack_steps), ("held", unpack)))
         none = [np.zeros(0, np.int64)]
         return _posted(seats, np.array([r["sender"] for r in found], np.int64), np.array([len(x) for x in places], np.int64), np.concatenate(none + places), np.concatenate(none + held))
 
@@ -835,10 +802,10 @@ def saved_sums(post: DataFrame, n_buckets: int) -> DataFrame:
     """What each owner's restaurants save in all buckets: back to each sender, and to the owner itself (kind owned)."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = [(r["bucket"], r["sender"], _unpack_steps(r["place"]), _unpack(r["saved"])) for r in table.to_pylist()]
+        rows = [(r["bucket"], r["sender"], unpack_steps(r["place"]), unpack(r["saved"])) for r in table.to_pylist()]
         total = np.bincount(np.concatenate([p for _, _, p, _ in rows]), np.concatenate([s for _, _, _, s in rows])).astype(np.int64)
-        out = [{"bucket": rows[0][0], "kind": "owned", "saved": _pack(total)}]
-        return _table(out + [{"bucket": sender, "sender": bucket, "kind": "sum", "saved": _pack(total[p])} for bucket, sender, p, _ in rows], SUMS)
+        out = [{"bucket": rows[0][0], "kind": "owned", "saved": pack(total)}]
+        return _table(out + [{"bucket": sender, "sender": bucket, "kind": "sum", "saved": pack(total[p])} for bucket, sender, p, _ in rows], SUMS)
 
     return staged(_dealt(post.filter("kind = 'saved'").select("bucket", "sender", "place", "saved"), "bucket", n_buckets).applyInArrow(run, SUMS), "saved")
 
@@ -849,19 +816,19 @@ def swept(post: DataFrame, sums: DataFrame, number: int, shape: Shape, at: tuple
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         row = next(r for r in rows if r["kind"] == "seats")
-        saved = [_unpack(r["saved"]) for r in sorted((r for r in rows if r["kind"] == "sum"), key=lambda r: r["sender"])]
-        owners, lengths, held = (_unpack(row[n]) for n in ("owners", "lengths", "held"))
-        seats = Seats(row["bucket"], _unpack(row["single"]), *(_unpack_steps(row[n]) for n in ("word", "context")), *(_unpack(row[n]) for n in ("customers", "tables", "parent_tables")))
+        saved = [unpack(r["saved"]) for r in sorted((r for r in rows if r["kind"] == "sum"), key=lambda r: r["sender"])]
+        owners, lengths, held = (unpack(row[n]) for n in ("owners", "lengths", "held"))
+        seats = Seats(row["bucket"], unpack(row["single"]), *(unpack_steps(row[n]) for n in ("word", "context")), *(unpack(row[n]) for n in ("customers", "tables", "parent_tables")))
         totals = Totals(held - np.concatenate([np.zeros(0, np.int64), *saved]), *at)
         seats.sweep(number, Shape(held, shape.vocabulary, shape.discount, shape.parent_discount, [totals] * (number + 1)))
-        return _posted(seats, owners, lengths, _unpack_steps(row["places"]), held)
+        return _posted(seats, owners, lengths, unpack_steps(row["places"]), held)
 
     both = post.filter("kind = 'seats'").select("bucket", "sender", "kind", *CARRIED).unionByName(sums.filter("kind = 'sum'"), allowMissingColumns=True)
     return staged(_dealt(both, "bucket", n_buckets).applyInArrow(run, POST), "seats")
 
 
 def _logs(p: np.ndarray) -> bytes:
-    return _pack(np.clip(np.round(-np.log10(p) / FINE), 0, 65535))
+    return pack(np.clip(np.round(-np.log10(p) / FINE), 0, 65535))
 
 
 ANSWERED = "chunk bigint, bucket int, counts binary, sharing binary, parents array<binary>, backs array<binary>, own binary"
@@ -873,21 +840,21 @@ def answered(parts: DataFrame, shape: Shape, at: dict[int, tuple[float, float]],
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         row = next(r for r in rows if r["kind"] is None)
-        counts, customers, per_word, hashes = _unpack(row["counts"]), _unpack(row["customers"]), _unpack(row["per_word"]), _unpack_steps(row["hashes"])
+        counts, customers, per_word, hashes = unpack(row["counts"]), unpack(row["customers"]), unpack(row["per_word"]), unpack_steps(row["hashes"])
         several, word = customers > 1, np.repeat(np.arange(len(per_word)), per_word)
         single = np.bincount(word[customers == 1], minlength=len(per_word))
         held = _by_hash(hashes, counts, hashes)
-        places = _unpack_steps(next(r for r in rows if r["kind"] == "places")["hashes"])
+        places = unpack_steps(next(r for r in rows if r["kind"] == "places")["hashes"])
         tables, parents, backs = np.zeros(int(several.sum())), [], []
         for sweep, (c, t) in at.items():
             of = next(r for r in rows if r["kind"] == "seats" and r["sender"] == sweep)
-            now = Seats(row["bucket"], single, word[several], _unpack_steps(row["context"]), customers[several], _unpack(of["tables"]), _unpack(of["parent_tables"]))
+            now = Seats(row["bucket"], single, word[several], unpack_steps(row["context"]), customers[several], unpack(of["tables"]), unpack(of["parent_tables"]))
             tables += now.tables
             parents.append(now.parent(shape, Totals(None, c, t)))
             kept = held.copy()
             for r in (r for r in rows if r["kind"] == "owned" and r["sender"] == sweep):
                 near = np.minimum(np.searchsorted(places, hashes), len(places) - 1)
-                kept -= np.where(places[near] == hashes, _unpack(r["saved"])[near], 0)
+                kept -= np.where(places[near] == hashes, unpack(r["saved"])[near], 0)
             backs.append((STRENGTH + shape.discount * kept) / (STRENGTH + held))
         own = (customers == 1) * (1 - shape.discount)
         own[several] = customers[several] - shape.discount * tables / len(at)
@@ -895,8 +862,8 @@ def answered(parts: DataFrame, shape: Shape, at: dict[int, tuple[float, float]],
         own = np.where(own > 0, np.round((np.log10(np.maximum(own, 0.01)) + 2) / FINE) + 1, 0)
         out = []
         for chunk, words, pairs in zip(row["chunks"], row["asked_words"], row["asked_pairs"], strict=True):
-            w = _unpack_steps(words)
-            out.append({"chunk": chunk, "bucket": row["bucket"], "counts": _pack(counts[w]), "sharing": _pack((held - counts)[w]), "parents": [_logs(p[w]) for p in parents], "backs": [_logs(b[w]) for b in backs], "own": _pack(own[_unpack_steps(pairs)])})
+            w = unpack_steps(words)
+            out.append({"chunk": chunk, "bucket": row["bucket"], "counts": pack(counts[w]), "sharing": pack((held - counts)[w]), "parents": [_logs(p[w]) for p in parents], "backs": [_logs(b[w]) for b in backs], "own": pack(own[unpack_steps(pairs)])})
         return _table(out, ANSWERED)
 
     return _dealt(parts, "bucket", n_buckets).applyInArrow(run, ANSWERED)
@@ -937,15 +904,15 @@ def _score_every(rows: DataFrame, burn_in: int, samples: int) -> DataFrame:
 
     def of_chunk(table: pa.Table) -> pa.Table:
         docs = table.filter(pa.compute.is_valid(table.column("place"))).sort_by("place")
-        flat = _unpack(next(x for x in table.column("tokens").to_pylist() if x is not None))
+        flat = unpack(next(x for x in table.column("tokens").to_pylist() if x is not None))
         got = table.filter(pa.compute.is_valid(table.column("bucket"))).sort_by("bucket").drop_columns(["doc_id", "tokens"]).to_pylist()
-        counts, held = (np.concatenate([_unpack(r[n]) for r in got]) for n in ("counts", "sharing"))
+        counts, held = (np.concatenate([unpack(r[n]) for r in got]) for n in ("counts", "sharing"))
         held, before = held + counts, _before(flat)
-        own = np.concatenate([_unpack(r["own"]) for r in got])
+        own = np.concatenate([unpack(r["own"]) for r in got])
         own = np.where(own > 0, 10 ** ((own - 1) * FINE - 2), 0)[np.unique(_pairs(flat, len(counts)), return_inverse=True)[1]]
         p = own / (STRENGTH + held[before])
         for i in range(samples):
-            parent, back = (10 ** (np.concatenate([_unpack(r[n][i]) for r in got]) * -FINE) for n in ("parents", "backs"))
+            parent, back = (10 ** (np.concatenate([unpack(r[n][i]) for r in got]) * -FINE) for n in ("parents", "backs"))
             p += back[before] * parent[flat] / samples
         lengths = np.array(docs.column("n_tokens").to_pylist(), np.int64)
         starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from datasheaf.llm._common import per_row, staged
+from datasheaf.llm._common import pack, pack_steps, per_row, staged, unpack, unpack_steps
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -207,8 +207,10 @@ def near_duplicates(docs: DataFrame, distance: int = 2, hot_key: int = HOT_KEY,
 
 #: Words in a shingle and Jaccard similarity from which two texts are near copies.
 SIMILAR_WORDS, SIMILARITY = 5, 0.8
-#: One text of so many shows which shingles are common, and at most so many of those are told apart: it decides the cost of the index, never what it finds.
-COMMON_OF, COMMON_MOST = 16, 1 << 17
+#: Shingles of more texts than this are common, and at most so many of those are told apart: it decides the cost of the index, never what it finds.
+COMMON_OVER, COMMON_MOST = 32, 1 << 17
+#: Shingles that a task counts at a time, and bytes of text for each.
+COUNTED, SHINGLE_BYTES = 1 << 21, 6
 #: Chance, over the hash of the shingles, that the index misses a pair of the least similarity.
 MISS = 1e-9
 _FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -269,10 +271,38 @@ def _sets(texts: list[bytes]) -> list[pa.Array]:
 
 
 def common_shingles(texts: DataFrame, text: Column) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles of a sample of the texts, rising as signed numbers, and their ranks, the commonest last."""
-    some = texts.filter(F.pmod(F.xxhash64(text), F.lit(COMMON_OF)) == 0)
-    sets = per_row(some, [F.lit(0).alias("none")], text, _sets, "shingles array<bigint>")
-    found = sets.select(F.explode("shingles").alias("h")).groupBy("h").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "h").limit(COMMON_MOST).toArrow()
+    """The most frequent shingles of all texts, rising as signed numbers, and their ranks, the commonest last. Each is counted once a text."""
+    bodies = texts.select(F.coalesce(text, F.lit("")).cast("binary").alias("body"))
+    n_buckets = max(1, -(-(bodies.agg(F.sum(F.octet_length("body"))).first()[0] or 0) // (COUNTED * SHINGLE_BYTES)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            h, n = np.unique(np.concatenate(sets), return_counts=True)
+            buckets = (((h >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)).astype(np.int64)
+            parts = np.split(np.arange(len(h)), np.flatnonzero(np.diff(buckets)) + 1)
+            return pa.RecordBatch.from_arrays([pa.array([buckets[p[0]] for p in parts], pa.int32()), *(pa.array(x, pa.binary()) for x in ([pack_steps(h[p]) for p in parts], [pack(n[p]) for p in parts]))], names=["bucket", "shingles", "counts"])
+
+        for batch in batches:
+            for body in batch.column(0):
+                sets.append(shingle_set(body.as_py()))
+                size += len(sets[-1])
+                if size >= COUNTED:
+                    yield flush()
+                    sets, size = [], 0
+        if sets:
+            yield flush()
+
+    def summed(table: pa.Table) -> pa.Table:
+        parts, counts = (np.concatenate([f(x) for x in table.column(n).to_pylist()]) for n, f in (("shingles", unpack_steps), ("counts", unpack)))
+        h, at = np.unique(parts, return_inverse=True)
+        n = np.bincount(at, counts, len(h)).astype(np.int64)
+        return pa.table([pa.array(h[n > COMMON_OVER], pa.int64()), pa.array(n[n > COMMON_OVER], pa.int64())], names=["h", "n"])
+
+    counted = bodies.mapInArrow(count, "bucket int, shingles binary, counts binary").repartition(2 * n_buckets, "bucket").groupBy("bucket").applyInArrow(summed, "h bigint, n bigint")
+    found = counted.orderBy(F.desc("n"), "h").limit(COMMON_MOST).toArrow()
     h = found.column("h").to_numpy()
     order = np.argsort(h)
     return h[order], len(h) - order

@@ -227,6 +227,6 @@ def test_savings_of_contexts_are_summed(spark, documents, monkeypatch):
     state = lm_scoring._dealt(lm_scoring.asked_by(lm_scoring.numbered(rows.repartition(3)).cache(), n_buckets), "bucket", n_buckets).applyInArrow(lm_scoring.merge_asked, lm_scoring.MERGED).cache()
     places = lm_scoring.owned(state, n_buckets)
     sums = lm_scoring.saved_sums(lm_scoring.first_seats(state, places, n_buckets), n_buckets)
-    hashes = {r.bucket: lm_scoring._unpack_steps(r.hashes).tolist() for r in places.filter("kind = 'owned'").collect()}
-    got = {h: n for r in sums.filter("kind = 'owned'").collect() for h, n in zip(hashes[r.bucket], lm_scoring._unpack(r.saved).tolist(), strict=True)}
+    hashes = {r.bucket: lm_scoring.unpack_steps(r.hashes).tolist() for r in places.filter("kind = 'owned'").collect()}
+    got = {h: n for r in sums.filter("kind = 'owned'").collect() for h, n in zip(hashes[r.bucket], lm_scoring.unpack(r.saved).tolist(), strict=True)}
     assert got == {lm_scoring.xxhash.xxh64_intdigest(u) >> 8: n for u, n in saved.items() if n}

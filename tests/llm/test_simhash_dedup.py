@@ -1,8 +1,10 @@
+import collections
 import random
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from datasheaf.llm import simhash_dedup as s
 
@@ -223,3 +225,20 @@ def test_unfinished_components_are_an_error(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "a bigint, b bigint")
     with pytest.raises(RuntimeError):
         s.components(chain, most_rounds=2)
+
+
+def test_common_shingles_are_counted_in_all_texts(spark, monkeypatch):
+    """Also if none of the texts that share them is one that a hash of the text would draw."""
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    shared, fewer = words(12), words(12)
+    texts = [" ".join(words(20) + shared + (fewer if i % 3 else []) + words(20)) for i in range(60)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").filter("pmod(xxhash64(text), 16) <> 0").repartition(4).cache()
+    counts = collections.Counter(h for r in df.collect() for h in s.shingle_set(r.text.encode()).view(np.int64).tolist())
+    monkeypatch.setattr(s, "COUNTED", 1 << 9)
+    h, ranks = s.common_shingles(df, F.col("text"))
+    wanted = {x: n for x, n in counts.items() if n > s.COMMON_OVER}
+    assert len(wanted) >= 8 and h.tolist() == sorted(wanted)
+    rising = [wanted[x] for x in h[np.argsort(ranks)].tolist()]
+    assert rising == sorted(rising) and sorted(ranks.tolist()) == list(range(1, len(wanted) + 1))
+    assert all(len(x) == 0 for x in s.common_shingles(df.limit(0), F.col("text")))
